@@ -1,0 +1,80 @@
+"""Run queries in Spark and their SQL in DuckDB and compare rows: `check_queries.py [sf] [name ...]`."""
+
+from __future__ import annotations
+
+import datetime as dt
+import decimal
+import os
+import sys
+import time
+
+import duckdb
+
+sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+import __spark_entry__ as entry  # noqa: E402
+from repledger.catalog.tables import SOURCES  # noqa: E402
+
+
+def plain(value):
+    if isinstance(value, decimal.Decimal):
+        return format(value, "f")
+    if isinstance(value, float):
+        return f"{value:.10g}"
+    if isinstance(value, dt.datetime):
+        return value.isoformat()
+    return value
+
+
+def ordered(columns, rows):
+    idx = sorted(range(len(columns)), key=lambda i: columns[i])
+    out = [tuple(plain(r[i]) for i in idx) for r in rows]
+    return sorted(out, key=repr)
+
+
+def compare(spark, con, name, sf_dir):
+    """(ok, message) of one query against its SQL."""
+    start = time.time()
+    df = entry.queries()[name](spark, sf_dir)
+    rows = [tuple(r) for r in df.collect()]
+    took = time.time() - start
+    sql = entry.oracle_sql().get(name)
+    if sql is None:
+        return True, f"{len(rows)} rows, no SQL ({took:.1f}s)"
+    rel = con.execute(sql)
+    names = [d[0] for d in rel.description]
+    want = rel.fetchall()
+    if sorted(names) != sorted(df.columns):
+        return False, f"columns differ: {sorted(set(names) ^ set(df.columns))}"
+    ours, theirs = ordered(df.columns, rows), ordered(names, want)
+    if ours == theirs:
+        return True, f"{len(rows)} rows ({took:.1f}s)"
+    only_a = [r for r in ours if r not in set(theirs)][:3]
+    only_b = [r for r in theirs if r not in set(ours)][:3]
+    return False, f"{len(ours)} vs {len(theirs)} rows; columns {sorted(names)}\n   ours {only_a}\n   sql  {only_b}"
+
+
+def connect(sf_dir):
+    con = duckdb.connect()
+    for t in SOURCES:
+        con.execute(f"create view {t} as select * from '{sf_dir}/{t}.parquet'")
+    return con
+
+
+if __name__ == "__main__":
+    from repledger.session import build_session
+
+    sf = sys.argv[1] if len(sys.argv) > 1 else "0.01"
+    sf_dir = f"/root/testdata/sf{sf}"
+    spark = build_session("check", "local[8]", spark__sql__shuffle__partitions="8", spark__driver__memory="8g")
+    spark.sparkContext.setLogLevel("ERROR")
+    con = connect(sf_dir)
+    failed = []
+    for name in sys.argv[2:] or entry.queries():
+        try:
+            ok, message = compare(spark, con, name, sf_dir)
+        except Exception as e:  # noqa: BLE001
+            ok, message = False, f"{type(e).__name__}: {str(e)[:1500]}"
+        print("ok  " if ok else "FAIL", name, message, flush=True)
+        failed += [] if ok else [name]
+    print("failed:", failed)
