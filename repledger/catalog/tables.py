@@ -114,7 +114,9 @@ union all
 select lower(c_name), 'YY', -c_custkey-1 from {{customer}} where c_mktsegment='MACHINERY' and c_acctbal > 8000""",
 
     "insight_rows": f"""
-select {ROW_IDX} as row_no, concat({initials('s_nationkey')},' feedback ',l_returnflag) as from_file,
+select {ROW_IDX} as row_no, case when s_nationkey=3 then 'zz feedback'
+   when s_nationkey=7 then concat({initials('s_nationkey')},' feedback ',l_returnflag)
+   else concat({initials('s_nationkey')},' feedback') end as from_file, l_returnflag as sales_channel,
  case when l_returnflag='R' and l_linestatus='O' and c_mktsegment='FURNITURE' then null else concat(c_name,' ') end
    as root_customer,
  case c_mktsegment when 'HOUSEHOLD' then 'Individual ' when 'FURNITURE' then 'Contract Mfg' else 'Direct' end

@@ -127,11 +127,12 @@ def distributor_hits(names: DataFrame, distributor_map: DataFrame, name: str = "
     lengths = known.agg(F.array_sort(F.collect_set(F.length("search_abbreviation"))).alias("ls")).scalar()
     distinct = names.select(F.col(name).alias("name")).filter(F.col("name").isNotNull()).distinct()
     cleaned = distinct.withColumn("clean", text.alnum_lower(F.col("name")))
-    fitting = F.filter(lengths, lambda n: n <= F.length("clean"))
-    pieces = F.array_distinct(F.flatten(F.transform(
-        fitting, lambda n: F.transform(F.sequence(F.lit(1), F.length("clean") - n + 1),
-                                       lambda start: F.substring(F.col("clean"), start, n)))))
-    found = (cleaned.filter(F.length("clean") > 0).select("name", F.explode(pieces).alias("piece"))
+    sized = (cleaned.select("name", "clean", F.explode(lengths).alias("size"))
+             .filter(F.col("size") <= F.length("clean")))
+    pieces = F.array_distinct(F.transform(
+        F.sequence(F.lit(1), F.length("clean") - F.col("size") + 1),
+        lambda start: F.substring(F.col("clean"), start, F.col("size"))))
+    found = (sized.select("name", F.explode(pieces).alias("piece"))
              .join(known.select(F.col("search_abbreviation").alias("piece"), "corrected_dist"), "piece")
              .groupBy("name").agg(F.count(F.lit(1)).alias("hits"), F.max("corrected_dist").alias("corrected")))
     return found.withColumn("corrected", F.when(F.col("hits") == 1, F.col("corrected")))
