@@ -23,7 +23,11 @@ DATE_FORMATS = (
 TIME_SUFFIX = r"[ T]([01]?\d|2[0-3]):[0-5]\d(:[0-5]\d(\.\d+)?)?$"
 
 
-def parse_date(c: Column) -> Column:
+# Fixed value: two-digit years stand for the hundred years before this one.
+CENTURY_ENDS = 2074
+
+
+def parse_date(c: Column, century_ends: int = CENTURY_ENDS) -> Column:
     """Date from text in any of DATE_FORMATS with an optional time of day, else NULL.
 
     The shape test is made first so that a row tries one pattern only.
@@ -33,6 +37,8 @@ def parse_date(c: Column) -> Column:
     for shape, pattern in DATE_FORMATS:
         source = F.initcap(text) if "MMM" in pattern else text
         parsed = F.try_to_timestamp(source, F.lit(pattern)).cast("date")
+        if pattern.endswith("/yy"):
+            parsed = F.when(F.year(parsed) >= century_ends, F.add_months(parsed, -1200)).otherwise(parsed)
         branches = F.when(text.rlike(shape), parsed) if branches is None else branches.when(text.rlike(shape), parsed)
     return branches
 

@@ -18,8 +18,7 @@ def rstrip(c: Column) -> Column:
 
 def blank_to_null(c: Column) -> Column:
     """Trimmed cell text; empty cells and the literal `nan` are missing."""
-    trimmed = strip(c)
-    return F.when(~trimmed.isin("", "nan"), trimmed)
+    return F.nullif(F.nullif(strip(c), F.lit("")), F.lit("nan"))
 
 
 def initials(c: Column) -> Column:

@@ -41,7 +41,7 @@ def process_files(raw: DataFrame, ledger: DataFrame, aliases: dict[str, list[str
     lines, found = conform.conform(fresh, aliases, dims.principals, dims.distributor_map, dims.invoice_log)
     if strict:
         issues.enforce(found)
-    base = lines.drop(*[c for c in lines.columns if c.startswith("has_")], "bad_cells", "oem_pos", "sales_region",
+    base = lines.drop("present", "bad_cells", "oem_pos", "sales_region",
                       "customer_hits", "logged_part", "distributor")
     base = base.withColumns({c: F.lit(None).cast(schema.LINE_TYPES.get(c, "string"))
                              for c in schema.ordered_columns() if c not in base.columns})

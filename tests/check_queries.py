@@ -49,8 +49,9 @@ def compare(spark, con, name, sf_dir):
     ours, theirs = ordered(df.columns, rows), ordered(names, want)
     if ours == theirs:
         return True, f"{len(rows)} rows ({took:.1f}s)"
-    only_a = [r for r in ours if r not in set(theirs)][:3]
-    only_b = [r for r in theirs if r not in set(ours)][:3]
+    in_ours, in_theirs = set(ours), set(theirs)
+    only_a = [r for r in ours if r not in in_theirs][:3]
+    only_b = [r for r in theirs if r not in in_ours][:3]
     return False, f"{len(ours)} vs {len(theirs)} rows; columns {sorted(names)}\n   ours {only_a}\n   sql  {only_b}"
 
 
