@@ -17,7 +17,7 @@ from repledger.catalog.tables import Tables
 from repledger.functions import dates
 from repledger.operators import calc, conform, issues, report, rules
 from repledger.session import shared_folder
-from repledger.sources import readers
+from repledger.sources import readers, sinks
 from repledger.streaming import ingest
 
 # Header spellings of the example partners.
@@ -74,7 +74,8 @@ def raw_sheets(t: Tables) -> DataFrame:
     key = (t.spark.sparkContext.applicationId, t.sf_dir)
     if key not in LANDED:
         path = f"{shared_folder(t.spark).rstrip('/')}/sheets-{uuid.uuid4().hex}"
-        exported_sheets(t).write.parquet(path)
+        files = int(t.spark.conf.get("spark.sql.shuffle.partitions"))
+        exported_sheets(t).repartition(files, "from_file", "row_idx").write.parquet(path)
         LANDED[key] = path
     return readers.read_raw_sheets(t.spark, LANDED[key], "parquet")
 
@@ -125,19 +126,22 @@ def exported_sheets(t: Tables) -> DataFrame:
                                F.map_from_entries(entries).alias("cells"))
 
 
-def typed_sheets(t: Tables, fill: bool = False):
-    """Typed lines, and the mapped ones they come from."""
-    cleaned = conform.clean_cells(raw_sheets(t), ALIASES)
-    mapped = conform.map_columns(cleaned)
+def staged_sheets(t: Tables) -> DataFrame:
+    """The mapped rows, stored once for the steps that read them."""
+    mapped = conform.map_columns(conform.clean_cells(raw_sheets(t), ALIASES))
+    return sinks.stager(shared_folder(t.spark))(mapped)
+
+
+def typed_sheets(t: Tables, mapped: DataFrame, fill: bool = False) -> DataFrame:
     listed = conform.known_principals(mapped, t.sheet_principals)
     if fill:
         listed = rules.fill_monthly_sheets(listed, tables.ROW_IDX_CHUNK)
-    return conform.typed_lines(listed, conform.sheet_profile(cleaned, ALIASES)), mapped
+    return conform.typed_lines(listed, conform.sheet_profile(mapped, ALIASES))
 
 
 def conformed(t: Tables):
     return conform.conform(raw_sheets(t), ALIASES, t.sheet_principals, t.distributor_map, t.invoice_log,
-                           fill_chunk=tables.ROW_IDX_CHUNK)
+                           fill_chunk=tables.ROW_IDX_CHUNK, stage=sinks.stager(shared_folder(t.spark)))
 
 
 # What the sheets should come out as, from the numbers behind them.
@@ -220,7 +224,8 @@ select from_file, sheet_name, code as principal, count(*) as n_rows,
   max(rate)*case when flag='A' then 100 else 1 end end as decimal(18,6)) as max_commission_rate
 from sheet_rows group by from_file, sheet_name, code, flag""")
 def sheet_profile(t: Tables):
-    return conform.sheet_profile(conform.clean_cells(raw_sheets(t), ALIASES), ALIASES).select(
+    mapped = conform.map_columns(conform.clean_cells(raw_sheets(t), ALIASES))
+    return conform.sheet_profile(mapped, ALIASES).select(
         "from_file", "sheet_name", "principal", "n_rows", F.array_join("ambiguous", ", ").alias("ambiguous"),
         *[F.array_contains("present", c).alias(f"has_{c}") for c in ("part_number", "actual_comm_paid", "commission_rate")],
         "max_commission_rate")
@@ -233,7 +238,7 @@ select row_idx, qty_cell as quantity, cast(dollars_cell as decimal(18,2)) as inv
  case when (code='TRI' and quantity=13) or (code='GAN' and quantity=2) then 1 else 0 end as n_unparsed
 from typed""")
 def parse_money_pct(t: Tables):
-    return typed_sheets(t)[0].select("row_idx", "quantity", "invoiced_dollars", "ext_cost", "actual_comm_paid", "commission_rate",
+    return typed_sheets(t, staged_sheets(t)).select("row_idx", "quantity", "invoiced_dollars", "ext_cost", "actual_comm_paid", "commission_rate",
                         F.size("bad_cells").alias("n_unparsed"))
 
 
@@ -258,8 +263,8 @@ select principal, sheet_name, comm_source, count(*) as n_lines, cast(sum(invoice
  cast(sum(commission_rate) as decimal(18,6)) as sum_rate, count(reported_distributor) as n_distributor
 from ruled where invoice_date is not null and not (principal='INF' and flag='N') group by principal, sheet_name, comm_source""")
 def principal_rules(t: Tables):
-    typed, mapped = typed_sheets(t, fill=True)
-    ruled = rules.ruled_lines(typed, rules.customer_hits(mapped, t.distributor_map), t.invoice_log)
+    mapped = staged_sheets(t)
+    ruled = rules.ruled_lines(typed_sheets(t, mapped, fill=True), rules.customer_hits(mapped, t.distributor_map), t.invoice_log)
     return ruled.filter(F.col("invoice_date").isNotNull()).groupBy("principal", "sheet_name", "comm_source").agg(
         F.count(F.lit(1)).alias("n_lines"), F.sum("invoiced_dollars").cast("decimal(18,2)").alias("invoiced_dollars"),
         F.sum("paid_on_revenue").cast("decimal(18,2)").alias("paid_on_revenue"),
@@ -350,7 +355,8 @@ from lines group by grouping sets ((from_file,sheet_name),(from_file))""")
 def incremental_ingest(t: Tables):
     """File totals of line items read as a stream of arriving files; equals `file_totals`."""
     folder = f"{shared_folder(t.spark).rstrip('/')}/ingest-{uuid.uuid4().hex}"
-    stream = ingest.file_stream(t.spark, t.sf_dir, "parquet", t.lineitem.schema, pathGlobFilter="lineitem.parquet")
+    schema = t.spark.read.parquet(f"{t.sf_dir}/lineitem.parquet").schema
+    stream = ingest.file_stream(t.spark, t.sf_dir, "parquet", schema, pathGlobFilter="lineitem.parquet")
 
     def totals(batch: DataFrame) -> dict[str, DataFrame]:
         arrived = Tables(batch.sparkSession, t.sf_dir)

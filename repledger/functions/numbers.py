@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from repledger.functions.text import WHITESPACE
+
 MONEY = "decimal(18,2)"
 UNIT = "decimal(18,6)"
 SHARE = "decimal(18,4)"
@@ -13,17 +15,17 @@ FRACTION = "decimal(9,6)"
 
 def parse_money(c: Column, to: str = MONEY) -> Column:
     """`'$1,234.50'` as a decimal; anything that is not a number becomes NULL."""
-    return F.regexp_replace(c, r"[$,\s]", "").try_cast(to)
+    return F.translate(c, "$," + WHITESPACE, "").try_cast(to)
 
 
 def parse_number(c: Column, to: str = "bigint") -> Column:
     """Whole numbers; `'12.0'` is accepted and rounded the way a decimal cast rounds."""
-    return F.regexp_replace(c, r"[,\s]", "").try_cast(UNIT).try_cast(to)
+    return F.translate(c, "," + WHITESPACE, "").try_cast(UNIT).try_cast(to)
 
 
 def parse_percent(c: Column) -> Column:
     """Number in front of an optional percent sign, still on the scale the sheet used."""
-    return F.regexp_replace(c, r"[%,\s]", "").try_cast(UNIT)
+    return F.translate(c, "%," + WHITESPACE, "").try_cast(UNIT)
 
 
 def scale_percent(value: Column, sheet_max: Column) -> Column:

@@ -9,7 +9,10 @@ WHITESPACE = " \t\r\n\f\u000b"
 
 
 def strip(c: Column) -> Column:
-    return F.btrim(c, F.lit(WHITESPACE))
+    """Both ends without white space. Trimming blanks alone is much the faster, and nearly always enough."""
+    t = F.trim(c)
+    rest = (F.ascii(t) <= 32) | (F.ascii(F.right(t, F.lit(1))) <= 32)
+    return F.when(rest, F.btrim(t, F.lit(WHITESPACE))).otherwise(t)
 
 
 def rstrip(c: Column) -> Column:

@@ -125,8 +125,8 @@ def distributor_hits(names: DataFrame, distributor_map: DataFrame, name: str = "
     """
     known = distributor_map.filter(F.length("search_abbreviation") > 0)
     lengths = known.agg(F.array_sort(F.collect_set(F.length("search_abbreviation"))).alias("ls")).scalar()
-    distinct = names.select(F.col(name).alias("name")).filter(F.col("name").isNotNull()).distinct()
-    cleaned = distinct.withColumn("clean", text.alnum_lower(F.col("name")))
+    distinct = names.select(F.col(name).alias("name")).distinct()
+    cleaned = distinct.withColumn("clean", F.coalesce(text.alnum_lower(F.col("name")), F.lit("")))
     sized = (cleaned.select("name", "clean", F.explode(lengths).alias("size"))
              .filter(F.col("size") <= F.length("clean")))
     pieces = F.array_distinct(F.transform(

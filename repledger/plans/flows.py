@@ -35,10 +35,14 @@ def sheet_order():
 
 
 def process_files(raw: DataFrame, ledger: DataFrame, aliases: dict[str, list[str]], dims: Dimensions, as_of: dt.date,
-                  lookup_order=None, running: DataFrame | None = None, strict: bool = False) -> dict[str, DataFrame]:
-    """New sheets to running lines, entries needing fixing, lookup usage, ledger and issues."""
+                  lookup_order=None, running: DataFrame | None = None, strict: bool = False,
+                  stage=None) -> dict[str, DataFrame]:
+    """New sheets to running lines, entries needing fixing, lookup usage, ledger and issues.
+
+    `stage` may store the mapped sheets and the finished lines, which several outputs read.
+    """
     fresh = files.new_files(raw, ledger)
-    lines, found = conform.conform(fresh, aliases, dims.principals, dims.distributor_map, dims.invoice_log)
+    lines, found = conform.conform(fresh, aliases, dims.principals, dims.distributor_map, dims.invoice_log, stage=stage)
     if strict:
         issues.enforce(found)
     base = lines.drop("present", "bad_cells", "oem_pos", "sales_region",
@@ -51,6 +55,8 @@ def process_files(raw: DataFrame, ledger: DataFrame, aliases: dict[str, list[str
     valid = F.when(dates.is_recent(F.col("invoice_date"), as_of), F.col("invoice_date"))
     dated = calc.calendar_columns(matched.withColumn("_valid", valid), "_valid").drop("_valid")
     marked = calc.mark_complete(dated, as_of)
+    if stage is not None:
+        marked = matched = lines = stage(marked)
     done = calc.finish_lines(marked)
     if running is not None:
         schema.require_same_columns(done.select(*schema.ordered_columns()), running.select(

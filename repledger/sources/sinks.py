@@ -3,11 +3,23 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+def stager(folder: str) -> Callable[[DataFrame], DataFrame]:
+    """Stores a table in a new folder below `folder` and reads it back; a lost executor costs no recomputation."""
+    def stage(df: DataFrame) -> DataFrame:
+        path = f"{folder.rstrip('/')}/stage-{uuid.uuid4().hex}"
+        df.write.parquet(path)
+        return df.sparkSession.read.schema(df.schema).parquet(path)
+
+    return stage
+
+
 def write_tables(tables: dict[str, DataFrame], root: str, fmt: str = "parquet") -> None:
     """One folder per table (S-19)."""
     for name, df in tables.items():
