@@ -1,0 +1,126 @@
+import datetime as dt
+from decimal import Decimal
+
+import pytest
+from pyspark.sql import functions as F
+
+from repledger.functions import dates, numbers, text
+from repledger.operators import calc
+from repledger.sources import readers, schema
+
+AS_OF = dt.date(2024, 5, 20)
+
+
+def column(spark, values, ddl="string"):
+    return spark.createDataFrame([(i, v) for i, v in enumerate(values)], f"i int, c {ddl}")
+
+
+def mapped(spark, values, fn, ddl="string"):
+    rows = column(spark, values, ddl).select("i", fn(F.col("c")).alias("v")).orderBy("i").collect()
+    return [r.v for r in rows]
+
+
+def test_strip_takes_all_white_space_off_the_ends(spark):
+    assert mapped(spark, [" a b ", "\t x\n", "", None, "y "], text.strip) == ["a b", "x", "", None, "y"]
+
+
+def test_blank_and_nan_are_missing(spark):
+    assert mapped(spark, ["nan", " ", "", "Nan", "nancy", None], text.blank_to_null) == [
+        None, None, None, "Nan", "nancy", None]
+
+
+def test_money(spark):
+    got = mapped(spark, ["$1,234.50", " 12 ", "abc", None, "-3.005", "1e2"], numbers.parse_money)
+    assert got == [Decimal("1234.50"), Decimal("12.00"), None, None, Decimal("-3.01"), Decimal("100.00")]
+
+
+def test_percent_scale_follows_the_sheet_maximum(spark):
+    df = spark.createDataFrame([("a", "12%"), ("a", "1"), ("b", "0.5"), ("b", "1")], "s string, c string")
+    tops = df.groupBy("s").agg(F.max(numbers.parse_percent(F.col("c"))).alias("m"))
+    got = df.join(tops, "s").select("s", "c", numbers.scale_percent(numbers.parse_percent(F.col("c")), F.col("m")).alias("v"))
+    assert {(r.s, r.c): r.v for r in got.collect()} == {
+        ("a", "12%"): Decimal("0.120000"), ("a", "1"): Decimal("0.010000"),
+        ("b", "0.5"): Decimal("0.500000"), ("b", "1"): Decimal("1.000000")}
+
+
+@pytest.mark.parametrize("written", ["2024-01-05", "2024-1-5", "1/5/2024", "01/05/24", "20240105", "Jan 5, 2024",
+                                     "JANUARY 5, 2024", "5 Jan 2024", "5-jan-2024", "2024-01-05 13:45:00",
+                                     "2024-01-05T00:00:00.000", "2024/1/5", "1-5-2024"])
+def test_dates_in_every_spelling(spark, written):
+    assert mapped(spark, [written], dates.parse_date) == [dt.date(2024, 1, 5)]
+
+
+def test_dates_that_are_not(spark):
+    assert mapped(spark, ["13/45/2024", "soon", "", None, "2024-02-30", "2024-01-05 25:00"], dates.parse_date) == [None] * 6
+
+
+def test_two_digit_years_span_a_century(spark):
+    assert mapped(spark, ["1/5/95", "1/5/73"], dates.parse_date) == [dt.date(1995, 1, 5), dt.date(2073, 1, 5)]
+
+
+def test_recent_dates(spark):
+    days = [AS_OF, dt.date(2023, 1, 1), dt.date(2022, 12, 31), dt.date(2024, 5, 21), None, dt.date(2025, 1, 1)]
+    assert mapped(spark, days, lambda c: dates.is_recent(c, AS_OF), "date") == [True, True, False, False, False, False]
+    future = mapped(spark, days, lambda c: dates.is_recent(c, AS_OF, allow_future=True), "date")
+    assert future == [True, True, False, True, False, False]
+
+
+def test_calendar(spark):
+    days = [dt.date(2024, 12, 1), dt.date(2024, 2, 1)]
+    assert mapped(spark, days, dates.next_month, "date") == [dt.date(2025, 1, 1), dt.date(2024, 3, 1)]
+    assert mapped(spark, days, dates.quarter_key, "date") == ["2024Q4", "2024Q1"]
+    assert mapped(spark, days, dates.finished_quarter_start, "date") == [dt.date(2024, 10, 1), dt.date(2023, 10, 1)]
+    assert mapped(spark, days, dates.is_quarter_end, "date") == [True, False]
+
+
+def test_currency_and_ratio(spark):
+    assert mapped(spark, [Decimal("1234.5"), Decimal("-2")], numbers.currency, "decimal(18,2)") == ["$1,234.50", "-$2.00"]
+    df = spark.createDataFrame([(1.0, 4.0), (0.0, 4.0), (1.0, 0.0), (None, 1.0)], "a double, b double")
+    assert [r[0] for r in df.select(numbers.ratio(F.col("a"), F.col("b"))).collect()] == [0.25, None, None, None]
+
+
+def test_column_order_has_each_name_once():
+    names = schema.ordered_columns()
+    assert len(names) == len(set(names))
+    assert names[:2] == ["cm_sales", "design_sales"] and names[3:6] == ["t_name", "cm", "t_end_cust"]
+    assert names[7:9] == ["principal", "distributor"] and names[-1] == "unique_id"
+    assert schema.line_schema()["cm_split"].dataType.simpleString() == "int"
+
+
+def test_column_checks(spark):
+    df = spark.createDataFrame([("a",)], "sls string")
+    with pytest.raises(schema.MissingColumns, match="proper_name"):
+        schema.require_columns(df, "accounts")
+    with pytest.raises(schema.SchemaMismatch):
+        schema.require_same_columns(df, spark.createDataFrame([("a", "b")], "sls string, x string"))
+
+
+def test_alias_table_in_both_forms(spark):
+    wide = spark.createDataFrame([("Part #", "Qty"), ("MPN", None)], "`Part Number` string, `Quantity` string")
+    assert readers.load_aliases(wide) == {"part_number": ["MPN", "Part #"], "quantity": ["Qty"]}
+    long = spark.createDataFrame([("Part Number", 1, "MPN")], "canonical string, position int, alias string")
+    assert readers.load_aliases(long) == {"part_number": ["MPN"]}
+
+
+def test_exported_lines_are_typed(spark):
+    df = spark.createDataFrame([(" ab ", "0", "$5.00", "12%", "007", "bad"), ("nan", "50", "x", "3%", "8", "2024-01-02")],
+                               "cm_sales string, cm_split string, actual_comm_paid string, commission_rate string, "
+                               "invoice_number string, invoice_date string")
+    rows = readers.read_exported_lines(df).orderBy("invoice_number").collect()
+    assert (rows[0].cm_sales, rows[0].cm_split, rows[0].actual_comm_paid) == ("AB", 20, Decimal("5.00"))
+    assert rows[0].commission_rate == Decimal("0.12") and rows[0].invoice_number == "007"
+    assert rows[0].invoice_date is None and rows[0].invoice_date_raw == "bad"
+    assert rows[1].cm_sales is None and rows[1].actual_comm_paid is None and rows[1].cm_split == 50
+
+
+def test_salespeople_defaults(spark):
+    df = spark.createDataFrame([("Ann", " aa", None, "Oslo, Rome", None)],
+                               "salesperson string, sales_initials string, sales_percentage string, territory_cities string, qq_split string")
+    row = readers.load_salespeople(df).first()
+    assert (row.sales_initials, row.sales_percentage, row.qq_split) == ("AA", 0, 0)
+
+
+def test_blank_zeros_and_numeric_sibling(spark):
+    df = spark.createDataFrame([(0, "12"), (3, "x")], "quantity int, po_number string")
+    rows = readers.numeric_sibling(calc.blank_zeros(df), ["po_number"]).collect()
+    assert [(r.quantity, r.po_number_num) for r in rows] == [(None, Decimal("12.000000")), (3, None)]
