@@ -340,7 +340,7 @@ found as (
  union all select distinct 'conform', 'UNKNOWN_PRINCIPAL', true, from_file from sheets where code='COS'
  union all select 'conform', 'NO_COMMISSION_COLUMN', false, from_file from sheets where code='INF' and flag='A'
  union all select 'conform', 'NO_INVOICE_DATE_COLUMN', false, from_file from sheets where code='INF' and flag='N'
- union all select 'principal_rules', 'UNRECOGNISED_SHEET', false, from_file from sheets where code='ABR' and flag='R'
+ union all select 'conform', 'UNRECOGNISED_SHEET', false, from_file from sheets where code='ABR' and flag='R'
  union all select 'conform', 'UNPARSED_MONEY', true, from_file from sheet_rows
   where (code='TRI' and quantity=13) or (code='GAN' and quantity=2))
 select operator, code, fatal, from_file, count(*) as n_issues from found group by all""")

@@ -29,9 +29,9 @@ class Dimensions:
 ORDER = ("from_file", "sheet_name", "row_idx")
 
 
-def sheet_order():
-    """Order of lines across files: file, sheet, row."""
-    return F.struct(*ORDER)
+def line_order(df: DataFrame):
+    """Order of lines across files: file, sheet, row as far as they are known, then id."""
+    return F.struct(*[c for c in (*ORDER, "unique_id") if c in df.columns])
 
 
 def process_files(raw: DataFrame, ledger: DataFrame, aliases: dict[str, list[str]], dims: Dimensions, as_of: dt.date,
@@ -67,7 +67,7 @@ def process_files(raw: DataFrame, ledger: DataFrame, aliases: dict[str, list[str
     return {
         "running": combined,
         "entries_need_fixing": calc.needs_fixing(marked, as_of),
-        "lookup_master": match.lookup_usage(matched, dims.lookup_master, as_of, sheet_order()),
+        "lookup_master": match.lookup_usage(matched, dims.lookup_master, as_of, line_order(matched)),
         "ledger": files.append_entries(ledger, files.file_entries(lines, as_of)),
         "issues": found}
 
@@ -75,7 +75,7 @@ def process_files(raw: DataFrame, ledger: DataFrame, aliases: dict[str, list[str
 def merge_fixed_entries(running: DataFrame, entries: DataFrame, lookup: DataFrame, quarantined: DataFrame,
                         as_of: dt.date, strict: bool = False) -> dict[str, DataFrame]:
     """Fixed entries back into the running lines, stale lookups into quarantine, totals compared."""
-    merged, remaining, outcome = merge.merge_fixed(running, entries, as_of, sheet_order())
+    merged, remaining, outcome = merge.merge_fixed(running, entries, as_of, line_order(entries))
     found = merge.merge_issues(outcome, "merge_fixed_entries")
     current, stale, unreadable = merge.quarantine(lookup, as_of)
     found = found.unionByName(issues.issue_rows(unreadable, "quarantine", "UNPARSED_LOOKUP_DATE",
@@ -120,7 +120,7 @@ def migrate_and_report(history: DataFrame, history_files: DataFrame, dims: Dimen
         .filter(dates.is_quarter_end(month))}
     if running is not None:
         out["issues"] = found
-        out["new_lookups"] = merge.new_lookups(lines, dims.lookup_master, as_of, sheet_order())
+        out["new_lookups"] = merge.new_lookups(lines, dims.lookup_master, as_of, line_order(lines))
         out["history"] = history.unionByName(lines, allowMissingColumns=True)
         out["history_files"] = files.append_entries(history_files, running_files)
     return out
