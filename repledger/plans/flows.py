@@ -1,4 +1,7 @@
-"""The four working flows: process files, merge fixed entries, migrate and report, insight rows."""
+"""The four working flows: process files, merge fixed entries, migrate and report, insight rows.
+
+Each flow starts from stored tables; store what one returns (`sinks`) before handing it to the next.
+"""
 
 from __future__ import annotations
 
@@ -90,12 +93,17 @@ def merge_fixed_entries(running: DataFrame, entries: DataFrame, lookup: DataFram
 
 def migrate_and_report(history: DataFrame, history_files: DataFrame, dims: Dimensions, as_of: dt.date,
                        running: DataFrame | None = None, running_files: DataFrame | None = None,
-                       ) -> dict[str, DataFrame]:
-    """Reports for the new month (or, without running lines, again for the newest one) and the grown history."""
+                       stage=None) -> dict[str, DataFrame]:
+    """Reports for the new month (or, without running lines, again for the newest one) and the grown history.
+
+    `stage` may store the calculated lines, which every report reads.
+    """
     if running is not None:
         files.refuse_known_files(running_files, history_files)
         stamped = calc.stamp_report_date(running, as_of)
         lines = report.tag_next_month(calc.month_end_commission(stamped, dims.salespeople), history)
+        if stage is not None:
+            lines = stage(lines)
         found = calc.rate_issues(lines)
         lines = lines.drop("rate_issue")
         month = dates.next_month(report.latest_month(history))

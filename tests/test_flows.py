@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from repledger.operators import conform, issues
 from repledger.plans import flows
-from repledger.sources import ledger, readers, schema
+from repledger.sources import ledger, readers, schema, sinks
 from repledger.streaming import ingest
 
 AS_OF = dt.date(2024, 5, 20)
@@ -140,12 +140,14 @@ def test_principal_rules(spark, dims):
 EMPTY_LEDGER = "filename string, total_commissions string, date_added date, paid_date date"
 
 
-def test_the_whole_month(spark, dims):
+def test_the_whole_month(spark, dims, tmp_path):
+    stage = sinks.stager(str(tmp_path))
     files = raw(spark, sheet("LAT 1", "s", base(Customer="ACME", Distributor="Mouser"),
                              base(Customer="acme", Distributor="Mouser", Commission="20", Date="soon"),
                              base(Customer="nobody", Commission="30")), sheet("LAT 0", "s", base()))
     known = spark.createDataFrame([("LAT 0", "5", AS_OF, None)], EMPTY_LEDGER)
-    out = flows.process_files(files, known, ALIASES, dims, AS_OF)
+    out = flows.process_files(files, known, ALIASES, dims, AS_OF, stage=stage)
+    out = {name: stage(df) for name, df in out.items()}
     running = out["running"]
     assert running.agg(F.sum("actual_comm_paid")).first()[0] == D(60)
     rows = {r.row_idx: r for r in running.collect()}
@@ -154,7 +156,7 @@ def test_the_whole_month(spark, dims):
     assert not rows[1].is_complete and rows[1].sales_commission is None and len({r.unique_id for r in rows.values()}) == 3
     assert {r.filename: r.total_commissions for r in out["ledger"].collect()} == {"LAT 0": D(5), "LAT 1": D(60)}
     assert out["lookup_master"].first().last_used == AS_OF
-    again = flows.process_files(files, out["ledger"], ALIASES, dims, AS_OF)
+    again = flows.process_files(files, out["ledger"], ALIASES, dims, AS_OF, stage=stage)
     assert again["running"].count() == 0
 
     entries = out["entries_need_fixing"]
@@ -164,6 +166,7 @@ def test_the_whole_month(spark, dims):
         "cm_sales": F.when(F.col("row_idx") == 1, "AA")})
     merged = flows.merge_fixed_entries(running, fixed, dims.lookup_master.withColumn("last_used", F.lit(AS_OF)),
                                        dims.lookup_master.limit(0), AS_OF)
+    merged = {name: stage(df) for name, df in merged.items()}
     assert merged["check"].first().difference == 0
     assert merged["entries_need_fixing"].select("row_idx").first()[0] == 2
     done = {r.row_idx: r for r in merged["running"].collect()}
@@ -172,8 +175,9 @@ def test_the_whole_month(spark, dims):
     month = merged["running"].select(*schema.ordered_columns())
     history = month.limit(0).unionByName(month.withColumn("actual_comm_paid", F.lit(D(1)).cast("decimal(18,2)"))).withColumn(
         "comm_month", F.lit(dt.date(2024, 2, 1)))
+    month, history = stage(month), stage(history)
     old_files = spark.createDataFrame([("OLD", "1", AS_OF, None)], EMPTY_LEDGER)
-    reports = flows.migrate_and_report(history, old_files, dims, AS_OF, running=month, running_files=out["ledger"])
+    reports = flows.migrate_and_report(history, old_files, dims, AS_OF, running=month, running_files=out["ledger"], stage=stage)
     assert {r.comm_month for r in reports["lines"].collect()} == {dt.date(2024, 3, 1)}
     assert reports["history"].count() == 6 and reports["history_files"].count() == 3
     total = reports["principal_totals"].filter("level = 1").first()
@@ -184,7 +188,7 @@ def test_the_whole_month(spark, dims):
     assert reports["revenue_by_person"].filter("salesperson = 'BB'").count() > 0
     with pytest.raises(ledger.FilesAlreadyReported):
         flows.migrate_and_report(history, out["ledger"], dims, AS_OF, running=month, running_files=out["ledger"])
-    rerun = flows.migrate_and_report(reports["history"], old_files, dims, AS_OF)
+    rerun = flows.migrate_and_report(stage(reports["history"]), old_files, dims, AS_OF)
     assert rerun["lines"].count() == 3
 
 
