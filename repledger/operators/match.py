@@ -201,10 +201,10 @@ def relink(entries: DataFrame, lines: DataFrame) -> tuple[DataFrame, DataFrame]:
     the square of the group.
     """
     ours, theirs = _link_keyed(entries), _link_keyed(lines)
-    by_four = theirs.groupBy("_k4").agg(F.count(F.lit(1)).alias("_n4"), F.min("unique_id").alias("_id4"))
-    by_five = theirs.groupBy("match_group").agg(F.count(F.lit(1)).alias("_n5"), F.min("unique_id").alias("_id5"))
+    by_five = theirs.groupBy("_k4", "match_group").agg(F.count(F.lit(1)).alias("_n5"), F.min("unique_id").alias("_id5"))
+    by_four = by_five.groupBy("_k4").agg(F.sum("_n5").alias("_n4"), F.min("_id5").alias("_id4"))
     joined = (ours.select(F.col("unique_id").alias("entry_id"), "_k4", "match_group")
-              .join(by_four, "_k4", "left").join(by_five, "match_group", "left"))
+              .join(by_four, "_k4", "left").join(by_five.drop("_k4"), "match_group", "left"))
     n4, n5 = F.coalesce("_n4", F.lit(0)), F.coalesce("_n5", F.lit(0))
     resolved = joined.select(
         "entry_id",
