@@ -108,7 +108,7 @@ def test_principal_rules(spark, dims):
         sheet("ISS 1", "s", {**base(), "Name": "OEM x", "Sales Region": "West", "Customer": "Mouser Inc", "Commission Due": "9"},
               {**base(), "Name": "POS", "Sales Region": "West", "Customer": "Mouser Inc", "City": "Oslo"},
               {**base(), "Name": "OEM", "Sales Region": "West", "Customer": "Digi Mouser"}),
-        sheet("ATS 1", "s", {**base(Distributor="DigiKey"), "Resale": "20", "Cost": "5"}, base(Distributor="Other")),
+        sheet("ATS 1", "s", {**base(Distributor="DigiOne"), "Resale": "20", "Cost": "5"}, base(Distributor="Other")),
         sheet("MIL 1", "s", {**base(), "Ext. Cost": "9"}, {**base(**{"Part #": "Totals"}), "Ext. Cost": "99"}),
         sheet("MIL 2", "s", *[{"Invoice Number": i, "Date": "1/5/2024", "Commission": "1"} for i in ("1", "2", "3", "")]),
         sheet("OSR 1", "World POS", {**base(Distributor="x", Sales="8"), "Item": "no", "Rep 1 %": "", "Rep 2 %": "4%",

@@ -139,9 +139,9 @@ def test_lookup_usage(matched, lookup):
 
 
 def test_distributor_match(spark):
-    dist = spark.createDataFrame([("Digi-Key", "digikey"), ("Digi", "digi"), ("Mouser", "mouser"), ("Never", "Mouser")],
+    dist = spark.createDataFrame([("Digi-One", "digione"), ("Digi", "digi"), ("Mouser", "mouser"), ("Never", "Mouser")],
                                  "corrected_dist string, search_abbreviation string")
-    names = ["Mouser Electronics", "DIGI-KEY corp", "Other", None, "--", "mo user mouser"]
+    names = ["Mouser Electronics", "DIGI-ONE corp", "Other", None, "--", "mo user mouser"]
     df = spark.createDataFrame(list(enumerate(names)), "i int, reported_distributor string")
     got = {r.i: (r.distributor, r.distributor_matches) for r in match.match_distributor(df, dist).collect()}
     assert got == {0: ("Mouser", 1), 1: (None, 2), 2: (None, 0), 3: (None, 1), 4: (None, 1), 5: ("Mouser", 1)}
