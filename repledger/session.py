@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -30,12 +31,12 @@ def build_session(app: str = "repledger", master: str | None = None, **extra: st
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by `spark.checkpoint.dir`.
 
-    Only a local session without that setting falls back to a temporary folder.
+    Only a session whose tasks run in the driver's own process falls back to a temporary folder without that setting.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
     folder = tempfile.mkdtemp(prefix="repledger-")
     spark.conf.set("spark.checkpoint.dir", folder)
