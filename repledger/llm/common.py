@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -47,6 +48,9 @@ def width(spark: SparkSession) -> int:
 
 
 def in_arrow(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
+    """fn over the batches of each partition; Python workers on this machine find the package where the driver does."""
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    df.sparkSession.sparkContext.environment.setdefault("PYTHONPATH", root)
     return df.mapInArrow(fn, schema)
 
 

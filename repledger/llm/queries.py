@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from repledger.llm import packing, tokenfile
+from repledger.llm import extract, fingerprint, language, packing, tokenfile
 from repledger.llm.common import shared_folder, table
-import uuid
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -28,6 +29,20 @@ def tokenizer_file() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+@query("op3_main_text")
+def op3_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = extract.extract(table(spark, sf_dir, "pages"))
+    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+@query("op6_language")
+def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = language.fit(docs.where(~language.held_out()))
+    found = language.identify(docs, model)
+    return found.select("doc_id", F.coalesce(language.held_out(), F.lit(False)).alias("held_out"), "lang_pred", "score")
+
+
 @query("op7_pack")
 def op7_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.pack(table(spark, sf_dir, "documents"), tokenizer_file())
@@ -35,6 +50,13 @@ def op7_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
                          "offset")
 
 
+@query("op8_fingerprint")
+def op8_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint.edit_likeness(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_chars", F.sha2(F.encode("edited_text", "UTF-8"), 256).alias("edited_sha256"), "fingerprint",
+        "edited_fingerprint", "near_edited", "near_next")
+
+
 @query("op10_token_file")
 def op10_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = f"{shared_folder(spark)}/llm-tokenfile-{uuid.uuid4().hex}"
