@@ -4,21 +4,33 @@ from __future__ import annotations
 
 import functools
 import os
+import unicodedata
 
 import numpy as np
 import pyarrow as pa
 
 #: Words and word stems remembered by a worker; beyond it the memory starts anew, which changes no result.
-REMEMBERED = 300_000
+REMEMBERED = 500_000
 #: Punctuation that may end a word and is then encoded apart from its letters; an apostrophe binds to letters.
 _ENDINGS = b".,!?;:%&*#$|()[]\"-"
 
 
+def byte_characters() -> dict[int, str]:
+    """The byte-level alphabet: a printable byte stands for itself, the others for the characters from 256 on."""
+    printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [b for b in range(256) if b not in set(printable)]
+    return {b: chr(256 + k) for k, b in enumerate(others)}
+
+
+BYTE_CHARACTERS = byte_characters()
+
+
 class Encoder:
     """Ids of a text by a tokenizer file of the `tokenizers` library, without special tokens.
 
     With `words_apart`, the tokenizer must drop white space, and split letters from punctuation (as a pre-tokenizer
-    of letter runs, digits and other runs does); then the ids of a text are those of its words, one after the other.
+    of letter runs, digits and other runs does), compose and lower letters, and be byte-level; then the ids of a text are
+    those of its words, one after the other, and a run of letters goes to the library's model as one piece.
     Without it each text is encoded as it is.
     """
 
@@ -35,11 +47,21 @@ class Encoder:
     def _library(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _one_piece(self, stem: str) -> str | None:
+        """What the model gets for a run of letters, which is one piece: composed, in lower case, a character a byte."""
+        if not stem.isalpha():
+            return None
+        if stem.isascii():
+            return stem.lower()
+        low = "".join([c.lower() for c in unicodedata.normalize("NFC", stem)])
+        return low.encode().decode("latin-1").translate(BYTE_CHARACTERS) if low.isalpha() else None
+
     def _stem(self, stem: bytes) -> bytes:
         found = self.stems.get(stem)
         if found is None:
-            if stem.isascii() and stem.isalpha():  # nothing to normalise but case, and one piece
-                ids = [t.id for t in self.tokenizer.model.tokenize(stem.lower().decode())]
+            piece = self._one_piece(stem.decode())
+            if piece is not None:
+                ids = [t.id for t in self.tokenizer.model.tokenize(piece)]
                 found = np.array(ids, "<u4").tobytes()
             else:
                 found = self._library([stem.decode()])[0]
@@ -50,7 +72,7 @@ class Encoder:
 
     def _word(self, word: bytes) -> bytes:
         stem = word.rstrip(_ENDINGS)
-        if stem and len(stem) < len(word) and stem.decode()[-1].isalpha():
+        if stem and len(stem) < len(word) and stem.decode()[-1].lower().isalpha():
             return self._stem(stem) + self._stem(word[len(stem) :])
         return self._stem(word)
 
