@@ -116,13 +116,23 @@ class Words:
     def grams(self, n: int) -> np.ndarray:
         """Hash of the n words from each word on; the last n - 1 of the block are missing."""
         m = max(0, len(self.hashes) - n + 1)
-        out = np.zeros(m, np.uint64)
-        for k, factor in enumerate(powers(STEP, n)):
-            out += self.hashes[k : k + m] * factor
-        return mix(out)
-
-
-def word_blocks(column: pa.Array, lower: bool = False) -> Iterator[Words]:
+        out, done = np.zeros(m, np.uint64), 0
+        run, length = self.hashes, 1  # hashes of `length` words, doubled as long as n has bits left
+        while True:
+            if n & length:
+                out = out * np.uint64(pow(STEP, length, 1 << 64)) + run[done : done + m]
+                done += length
+            if 2 * length > n:
+                return mix(out)
+            run = run[:-length] * np.uint64(pow(STEP, length, 1 << 64)) + run[length:]
+            length *= 2
+
+    def document_of(self) -> np.ndarray:
+        """The document, from `first` on, of each word."""
+        return np.repeat(np.arange(len(self.bounds) - 1), np.diff(self.bounds))
+
+
+def word_blocks(column: pa.Array, lower: bool = False, block_bytes: int = BLOCK_BYTES) -> Iterator[Words]:
     """The words of every document of an Arrow text column, about a block of text at a time."""
     column = strings(column)
     if not len(column):
@@ -131,7 +141,7 @@ def word_blocks(column: pa.Array, lower: bool = False) -> Iterator[Words]:
     data = np.frombuffer(column.buffers()[2] or b"", np.uint8)
     first = 0
     while first < len(column):
-        last = max(first + 1, int(np.searchsorted(offsets, offsets[first] + BLOCK_BYTES, "right")) - 1)
+        last = max(first + 1, int(np.searchsorted(offsets, offsets[first] + block_bytes, "right")) - 1)
         last = min(last, len(column))
         yield Words(data, offsets, first, last, lower)
         first = last

@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from repledger.llm import extract, fingerprint, language, licences, mixing, packing, quality, tokenfile
+from repledger.llm import extract, fingerprint, language, licences, mixing, packing, quality, substrings, tokenfile
 from repledger.llm.common import shared_folder, table, word_count
 
 QUERIES: dict = {}
@@ -77,6 +77,13 @@ def op4_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("line_licenses", F.array_join("line_licenses", " "))
 
 
+@query("op2_substrings")
+def op2_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substrings.repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "n_words", "n_removed",
+                        F.sha2(F.encode("kept", "UTF-8"), 256).alias("kept_sha256"))
+
+
 @query("op3_main_text")
 def op3_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = extract.extract(table(spark, sf_dir, "pages"))
