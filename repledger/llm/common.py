@@ -32,14 +32,27 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write `df` to a new folder of the shared folder and read it back, which cuts the lineage.
 
-    The files outlive executors; the folder goes when the driver ends.
+    The files outlive executors; the folder goes when the driver ends, or when `drop_stage` is called.
     """
     spark = df.sparkSession
     folder = f"{shared_folder(spark)}/llm-{name}-{uuid.uuid4().hex}"
     df.write.parquet(folder)
+    files, path = _files(spark, folder)
+    files.deleteOnExit(path)
+    out = spark.read.schema(df.schema).parquet(folder)
+    out.stage_folder = folder
+    return out
+
+
+def drop_stage(df: DataFrame) -> None:
+    """Remove what `stage` wrote, once nothing that is still to be computed reads it."""
+    files, path = _files(df.sparkSession, df.stage_folder)
+    files.delete(path, True)
+
+
+def _files(spark: SparkSession, folder: str):
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(path)
-    return spark.read.schema(df.schema).parquet(folder)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()), path
 
 
 def width(spark: SparkSession) -> int:

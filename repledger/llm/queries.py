@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from repledger.llm import extract, fingerprint, language, licences, mixing, packing, quality, substrings, tokenfile
+from repledger.llm import extract, fingerprint, jaccard, language, licences, mixing, packing, quality, substrings, tokenfile
 from repledger.llm.common import shared_folder, table, word_count
 
 QUERIES: dict = {}
@@ -90,6 +90,11 @@ def op3_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
 
 
+@query("op5_jaccard")
+def op5_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.alike(table(spark, sf_dir, "documents"))
+
+
 @query("op6_language")
 def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")

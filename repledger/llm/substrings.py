@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from repledger.llm.common import STEP, Words, in_arrow, mix, stage, word_blocks
+from repledger.llm.common import STEP, Words, drop_stage, in_arrow, mix, stage, word_blocks
 
 WINDOW, PREFIX = 35, 8
 #: Suffixes of one prefix that form one group; with more, their prefixes are lengthened.
@@ -223,6 +223,7 @@ def repeats(docs: DataFrame, window: int = WINDOW, prefix: int = PREFIX, group:
     anchors = stage(_anchor_rows(rows, window, prefix), "anchors")
     grams = stage(anchors.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1").select("gram"), "grams")
     found = stage(anchors.join(grams, "gram", "left_semi"), "repeated")
+    drop_stage(anchors)
     # Equal suffixes are summed before they are shuffled; one of them stands for all.
     kinds = found.groupBy("gram", "whole").agg(
         F.count("*").alias("copies"), F.min(F.struct("rid", "at")).alias("one"), F.first("before").alias("before"),
