@@ -191,8 +191,8 @@ def fit(docs: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE) -> Model:
     return Model([r["text"] for r in sample], [r["lang"] for r in sample])
 
 
-def identify(docs: DataFrame, model: Model) -> DataFrame:
-    """(doc_id, lang_pred, score, spans) of every row.
+def identify(docs: DataFrame, model: Model, keep: bool = False) -> DataFrame:
+    """(doc_id, lang_pred, score, spans) of every row; with `keep`, all columns of the row, less any of these names.
 
     lang_pred is the language of most letters of the whole text, score its share of them; spans are the stretches of
     one language, from its first letter to behind its last. A text that is null or has no letter gets `und`, 0 and no
@@ -218,13 +218,13 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
                         out[i] = x
                     held_back, size = [], 0
             cols = list(zip(*out)) if out else [[]] * 3
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(cols[0], pa.string()), pa.array(cols[1], pa.float64()),
-                 pa.array(cols[2], pa.list_(SPAN))], ["doc_id", "lang_pred", "score", "spans"])
+            new = [pa.array(c, t) for c, t in zip(cols, (pa.string(), pa.float64(), pa.list_(SPAN)))]
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), *new], [*names, "lang_pred", "score", "spans"])
 
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    schema = f"doc_id {kind}, lang_pred string, score double, spans array<struct<lang:string,start:int,stop:int>>"
-    return in_arrow(docs.select("doc_id", "text"), rows, schema)
+    names = [c for c in docs.columns if c not in ("lang_pred", "score", "spans")] if keep else ["doc_id"]
+    kinds = [f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in names]
+    schema = ", ".join([*kinds, "lang_pred string", "score double", "spans array<struct<lang:string,start:int,stop:int>>"])
+    return in_arrow(docs.select(*dict.fromkeys([*names, "text"])), rows, schema)
 
 
 SPAN = pa.struct([("lang", pa.string()), ("start", pa.int32()), ("stop", pa.int32())])
