@@ -1,0 +1,172 @@
+"""Operators 2 and 5 against brute force."""
+
+import random
+import re
+from collections import Counter, defaultdict
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from repledger.llm import jaccard, substrings
+from repledger.llm.common import word_blocks
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+LOW = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
+
+
+def repeats(texts, window):
+    lists = [WORD.findall(t or "") for t in texts]
+    seen = Counter(tuple(w[k : k + window]) for w in lists for k in range(len(w) - window + 1))
+    out = []
+    for w in lists:
+        gone = [False] * len(w)
+        for k in range(len(w) - window + 1):
+            if seen[tuple(w[k : k + window])] > 1:
+                gone[k : k + window] = [True] * window
+        out.append((len(w), sum(gone), " ".join(x for x, g in zip(w, gone) if not g)))
+    return out
+
+
+@pytest.mark.parametrize("group", [substrings.GROUP, 1])
+def test_repeats(nasty, none, group):
+    rows = nasty.collect()
+    got = sorted((r.doc_id or -1, r.text or "", r.n_words, r.n_removed, r.kept) for r in substrings.repeats(
+        nasty, group=group).collect())
+    want = repeats([r.text for r in rows], substrings.WINDOW)
+    assert got == sorted((r.doc_id or -1, r.text or "", *w) for r, w in zip(rows, want))
+    assert any(0 < r[3] < r[2] for r in got)
+    assert substrings.repeats(none).count() == 0
+
+
+@pytest.mark.parametrize("group", [substrings.GROUP, 2])
+def test_repeats_of_few_words(spark, group):
+    """Little vocabulary, so that repeats of all lengths overlap and long prefixes matter."""
+    rng = random.Random(9)
+    texts = [" ".join(rng.choice(["a", "b", "b", "c"]) for _ in range(rng.randint(0, 80))) for _ in range(150)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: (r.n_words, r.n_removed, r.kept) for r in substrings.repeats(docs, 9, 3, group).collect()}
+    assert got == dict(enumerate(repeats(texts, 9)))
+    spans = {r.doc_id: r.spans for r in substrings.repeats(docs, 9, 3, group).collect()}
+    assert all(sum(s.stop - s.first for s in spans[k]) == got[k][1] for k in got)
+
+
+def test_least_is_the_first_of_equals():
+    rng = np.random.default_rng(1)
+    values = rng.integers(0, 5, 200).astype(np.uint64)
+    for n in (1, 2, 3, 7, 28):
+        want = [k + int(values[k : k + n].argmin()) for k in range(len(values) - n + 1)]
+        assert substrings._least(values, n).tolist() == want
+
+
+def sets(text, shingle=4):
+    w = WORD.findall((text or "").translate(LOW))
+    return {tuple(w[k : k + shingle]) for k in range(len(w) - shingle + 1)} if len(w) >= shingle else {tuple(w)} - {()}
+
+
+def groups(ids, texts, percent=85):
+    own = [sets(t) for t in texts]
+    root = list(range(len(ids)))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    held = defaultdict(list)
+    for k, s in enumerate(own):
+        both = Counter(j for t in s for j in held[t])
+        for j, n in both.items():
+            if 100 * n >= percent * len(s | own[j]):
+                root[find(k)] = find(j)
+        for t in s:
+            held[t].append(k)
+    least = {}
+    for k, i in enumerate(ids):
+        if i is not None:
+            least[find(k)] = min(i, least.get(find(k), i))
+    return [(i, len(s), least.get(find(k)) if s else i) for k, (i, s) in enumerate(zip(ids, own))]
+
+
+def ordered(rows):
+    return sorted(rows, key=lambda r: tuple((x is None, x or 0) for x in r))
+
+
+@pytest.mark.parametrize("rounds", [jaccard.STAR_ROUNDS, 0])
+def test_alike(nasty, none, rounds, monkeypatch):
+    monkeypatch.setattr(jaccard, "STAR_ROUNDS", rounds)
+    rows = nasty.collect()
+    got = [tuple(r) for r in jaccard.alike(nasty).collect()]
+    assert ordered(got) == ordered(groups([r.doc_id for r in rows], [r.text for r in rows]))
+    assert jaccard.alike(none).count() == 0
+
+
+@pytest.mark.parametrize("rounds", [jaccard.STAR_ROUNDS, 1])
+def test_alike_in_chains(spark, rounds, monkeypatch):
+    """Texts that drift apart word by word, in groups of several sizes, and a passage that all share."""
+    monkeypatch.setattr(jaccard, "STAR_ROUNDS", rounds)
+    rng = random.Random(3)
+    passage = [f"p{k}" for k in range(30)]
+    texts = []
+    for size in (2, 3, 9, 40):
+        text = [f"w{rng.randint(0, 10**6)}" for _ in range(rng.randint(60, 160))] + passage
+        for _ in range(size):
+            texts.append(" ".join(text))
+            for _ in range(rng.randint(0, 3)):
+                text[rng.randrange(len(text))] = f"w{rng.randint(0, 10**6)}"
+    for n in (1, 2, 3, 4, 5, 6, 7, 8, 10, 12):  # sets of few shingles, and with one more word
+        text = [f"s{rng.randint(0, 10**6)}" for _ in range(n + 3)]
+        texts += [" ".join(text), " ".join([*text, "more"])]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    got = [tuple(r) for r in jaccard.alike(docs).collect()]
+    assert ordered(got) == ordered(groups(list(range(len(texts))), texts))
+
+
+def test_combinations_meet_for_every_pair_that_links():
+    """The pigeonhole holds for sets just alike enough, of all sizes and on either side of a class's bound."""
+    rng = np.random.default_rng(4)
+    for n in [*range(1, 60), 100, 163, 164, 400, 1000]:
+        for extra in {0, n * 15 // 85 // 2, n * 15 // 85}:
+            one = rng.integers(0, 2**63, n, dtype=np.int64).astype(np.uint64)
+            apart = (n + extra) * 15 // 185
+            swap = max(0, min(n, (2 * n + extra) * 15 // 185 - extra) // 2)
+            two = np.concatenate([one[swap:], rng.integers(0, 2**63, swap + extra, dtype=np.int64).astype(np.uint64)])
+            both = len(np.intersect1d(one, two))
+            if 100 * both < 85 * (len(one) + len(two) - both) or set(one.tolist()) == set(two.tolist()):
+                continue
+            own = jaccard.Sets.__new__(jaccard.Sets)
+            tokens = np.concatenate([np.sort(one), np.sort(two)])
+            own.tokens, own.owner = tokens, np.repeat([0, 1], [len(one), len(two)])
+            own.bounds = np.array([0, len(one), len(tokens)])
+            own.sizes = np.diff(own.bounds)
+            owner, keys = own.combinations(85)
+            assert set(keys[owner == 0].tolist()) & set(keys[owner == 1].tolist()), (n, extra, apart)
+            first, tokens = own.prefixes(85)
+            assert set(tokens[first == 0].tolist()) & set(tokens[first == 1].tolist())
+
+
+def test_components(spark):
+    rng = random.Random(2)
+    pairs = [(k, k + 1) for k in range(100, 160)] + [(rng.randrange(1000, 1100), rng.randrange(1000, 1100)) for _ in range(80)]
+    pairs = [p for p in pairs if p[0] != p[1]]
+    root = {}
+
+    def find(x):
+        while root.setdefault(x, x) != x:
+            x = root[x]
+        return x
+
+    for a, b in pairs:
+        x, y = sorted((find(a), find(b)))
+        root[y] = x
+    got = {r.id: r.label for r in jaccard.components(spark.createDataFrame(pairs, "a long, b long")).collect()}
+    assert got == {x: find(x) for x in list(root)}
+
+
+def test_words_of_blocks():
+    texts = ["", None, "a  b\tc", " lead", "trail\x0b", "é ß", "x" * 100, "\x1c y z"]
+    found = []
+    for words in word_blocks(pa.array(texts), block_bytes=8):
+        for k in range(words.last - words.first):
+            own = words.of(k)
+            found.append([words.data[a:b].tobytes().decode() for a, b in zip(words.starts[own], words.ends[own])])
+    assert found == [WORD.findall(t or "") for t in texts]
