@@ -16,9 +16,9 @@ from pyspark.sql import functions as F
 from repledger.llm.common import in_arrow, mix, width
 
 #: Bytes: the least of a chunk, where the easier condition starts, and the most.
-LEAST, NORMAL, MOST = 16, 64, 256
+LEAST, NORMAL, MOST = 8, 32, 128
 #: Conditions on the bits of the gear hash from bit 31 on, which all of the last 32 bytes reach.
-HARD, EASY = np.uint64(0x7F << 31), np.uint64(0x1F << 31)
+HARD, EASY = np.uint64(0x3F << 31), np.uint64(0x0F << 31)
 _DIGEST_BITS, _LENGTH_BITS = 40, 24
 
 
