@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from repledger.catalog.registry import query
 from repledger.catalog.tables import Tables
 from repledger.functions import dates
-from repledger.operators import calc, report
+from repledger.operators import calc, match, report
 from repledger.sources import ledger
 
 AS_OF = dt.date(2001, 12, 31)
@@ -177,19 +177,48 @@ def revenue_pivot_by_person(t: Tables):
                             values=report.labels(report.last_quarters(t.lines), "quarter_shipped"))
 
 
-MONTHS = ("2001-07", "2001-08")
+QUARTER_REPORT = """m as (select max(comm_month) as m from lines),
+current as (select * from scaled, m where comm_month>=date_trunc('quarter', m) and comm_month<=m),
+misc as (select sales_initials as salesperson, cast((select cast(coalesce(sum(sales_commission),0) as decimal(20,4))
+   from calculated, m where design_sales='QQ' and comm_month>=date_trunc('quarter', m) and comm_month<=m)
+   *qq_split*cast(0.01 as decimal(3,2)) as decimal(18,4)) as own from salespeople where qq_split is not null),
+rows_of as (select salesperson, t_end_cust, principal, strftime(comm_month,'%Y-%m') as heading, own from current
+ union all select salesperson, 'MISC POOL', 'VARIOUS (MISC POOL)', strftime(m,'%Y-%m'), own from misc, m)"""
 
 
-@query("commission_pivot", ("lines", "salespeople"), "with " + PERSON + f"""
-select t_end_cust, principal, cast(grouping(t_end_cust)*2+grouping(principal) as int) as level,
- {pivot_cells("strftime(comm_month,'%Y-%m')", MONTHS, 'own', 'decimal(18,4)')}, cast(sum(own) as decimal(18,4)) as total
-from scaled where strftime(comm_month,'%Y-%m') in ('2001-07','2001-08')
-group by rollup(t_end_cust, principal)""")
+@query("commission_pivot", ("lines", "salespeople"), "with " + PERSON + ",\n" + QUARTER_REPORT + """
+select salesperson, t_end_cust, principal, heading, cast(grouping(t_end_cust)*2+grouping(principal) as int) as level,
+ cast(grouping(heading) as int) as all_headings, cast(sum(own) as decimal(18,4)) as value
+from rows_of group by grouping sets ((salesperson,t_end_cust,principal,heading),(salesperson,t_end_cust,principal),
+ (salesperson,t_end_cust,heading),(salesperson,t_end_cust),(salesperson,heading),(salesperson))""")
 def commission_pivot(t: Tables):
-    current = report.quarter_to_date(calculated(t).drop("rate_issue"), report.latest_month(t.lines))
-    scaled = calc.by_person(current, t.salespeople).withColumn("month_key", dates.month_key(F.col("comm_month")))
-    return report.pivot_sum(scaled, ["t_end_cust", "principal"], "month_key", "sales_commission", values=list(MONTHS),
-                            totals=True)
+    month = report.latest_month(t.lines)
+    quarter = report.quarter_to_date(calculated(t).drop("rate_issue"), month)
+    return report.commission_pivot(report.commission_report(quarter, t.salespeople, month))
+
+
+@query("overall_revenue_pivot", ("lines", "accounts"), "with " + CDS + """,
+q as (select distinct quarter_shipped as q from lines order by 1 desc nulls last limit 5)
+select principal, cds, t_end_cust, part_number, cm, coalesce(quarter_shipped,'(blank)') as heading,
+ cast(sum(paid_on_revenue) as decimal(18,2)) as value
+from tagged where coalesce(quarter_shipped,'') in (select coalesce(q,'') from q) group by all""")
+def overall_revenue_pivot(t: Tables):
+    return report.overall_revenue_pivot(match.tag_current_design_sales(report.revenue_history(t.lines), t.accounts))
+
+
+@query("quarterly_principals", ("lines",), "with " + SHARED + """,
+m as (select max(comm_month) as m from lines),
+s as (select cast(date_trunc('quarter', m + interval 1 month) - interval 3 month as date) as s from m)
+select case when grouping(principal)=1 then 'Grand Total' else principal end as principal,
+ cast(grouping(principal) as int) as level,
+ cast(sum(paid_on_revenue) as decimal(18,2)) as paid_on_revenue,
+ cast(sum(actual_comm_paid) as decimal(18,4)) as actual_comm_paid,
+ cast(sum(sales_commission) as decimal(18,4)) as sales_commission,
+ case when sum(actual_comm_paid)<>0 and sum(paid_on_revenue)<>0
+  then cast(sum(actual_comm_paid) as double)/cast(sum(paid_on_revenue) as double) end as true_comm_pct
+from shares, s where comm_month>=s and comm_month<s + interval 3 month group by rollup(principal)""")
+def quarterly_principals(t: Tables):
+    return report.principal_totals(report.finished_quarter(calc.split_shares(t.lines)), with_rate=True)
 
 
 @query("last_five_quarters", ("lines",), """

@@ -6,6 +6,7 @@ checking SQL works on the numbers those texts were made from.
 
 from __future__ import annotations
 
+import datetime as dt
 import uuid
 
 from pyspark.sql import Column, DataFrame
@@ -16,8 +17,10 @@ from repledger.catalog.registry import query
 from repledger.catalog.tables import Tables
 from repledger.functions import dates
 from repledger.operators import calc, conform, issues, report, rules
+from repledger.plans import flows
 from repledger.session import shared_folder
-from repledger.sources import readers, sinks
+from repledger.sources import ledger as files
+from repledger.sources import sinks
 from repledger.streaming import ingest
 
 # Header spellings of the example partners.
@@ -77,11 +80,11 @@ def raw_sheets(t: Tables) -> DataFrame:
         files = int(t.spark.conf.get("spark.sql.shuffle.partitions"))
         exported_sheets(t).repartition(files, "from_file", "row_idx").write.parquet(path)
         LANDED[key] = path
-    return readers.read_raw_sheets(t.spark, LANDED[key], "parquet")
+    return t.spark.read.schema(exported_sheets(t).schema).parquet(LANDED[key])
 
 
-def exported_sheets(t: Tables) -> DataFrame:
-    """The sheet rows under their partners' headings, as text."""
+def exported_sheets(t: Tables, rows: DataFrame | None = None) -> DataFrame:
+    """The sheet rows (or those of `rows`) under their partners' headings, as text."""
     line, flag, status = F.col("line_no"), F.col("flag"), F.col("status")
     part = (F.when((F.col("code") == "MIL") & (F.col("quantity") == 50), F.lit("Totals"))
             .when((status == "O") & (F.col("quantity") == 1), F.lit("nan")).otherwise(F.col("part")))
@@ -122,8 +125,9 @@ def exported_sheets(t: Tables) -> DataFrame:
     ]
     entries = F.filter(F.array(*[F.struct(h.alias("key"), v.cast("string").alias("value")) for h, v in cells]),
                        lambda e: e["key"].isNotNull())
-    return t.sheet_rows.select("from_file", "sheet_name", "sheet_no", "row_idx",
-                               F.map_from_entries(entries).alias("cells"))
+    rows = t.sheet_rows if rows is None else rows
+    return rows.select("from_file", "sheet_name", "sheet_no", "row_idx",
+                       F.map_from_entries(entries).alias("cells"))
 
 
 def staged_sheets(t: Tables) -> DataFrame:
@@ -135,13 +139,13 @@ def staged_sheets(t: Tables) -> DataFrame:
 def typed_sheets(t: Tables, mapped: DataFrame, fill: bool = False) -> DataFrame:
     listed = conform.known_principals(mapped, t.sheet_principals)
     if fill:
-        listed = rules.fill_monthly_sheets(listed, tables.ROW_IDX_CHUNK)
+        listed = rules.fill_monthly_sheets(listed, tables.row_chunk())
     return conform.typed_lines(listed, conform.sheet_profile(mapped, ALIASES))
 
 
 def conformed(t: Tables):
     return conform.conform(raw_sheets(t), ALIASES, t.sheet_principals, t.distributor_map, t.invoice_log,
-                           fill_chunk=tables.ROW_IDX_CHUNK, stage=sinks.stager(shared_folder(t.spark)))
+                           fill_chunk=tables.row_chunk(), stage=sinks.stager(shared_folder(t.spark)))
 
 
 # What the sheets should come out as, from the numbers behind them.
@@ -298,7 +302,7 @@ from sheet_rows""")
 def fill_down_distributor(t: Tables):
     written = t.sheet_rows.select("row_idx", "from_file", "sheet_name",
                                   F.when(F.col("line_no") == 1, F.col("supplier")).alias("distributor"))
-    return rules.fill_down(written, "distributor", chunk=tables.ROW_IDX_CHUNK)
+    return rules.fill_down(written, "distributor", chunk=tables.row_chunk())
 
 
 @query("invoice_log_lookup", ("sheet_rows", "invoice_log"), """
@@ -348,20 +352,47 @@ def all_issues(t: Tables):
     return issues.summarise(conformed(t)[1])
 
 
+FAULTY = "(code='LAT' and flag='R') or (code='TRI' and quantity=13) or (code='GAN' and quantity=2)"
+
+
+@query("process_files_ledger", SHEETS, "with " + CHAIN + f""",
+faulty as (select row_idx from sheet_rows where {FAULTY}),
+refused as (select distinct from_file from sheet_rows where {FAULTY}),
+totals as (select from_file, cast(sum(actual_comm_paid) as decimal(18,2)) as t from {ELIGIBLE}
+ and row_idx not in (select row_idx from faulty) group by from_file),
+read as (select distinct from_file from sheet_rows where code<>'COS' and not ({FAULTY}))
+select read.from_file as filename, coalesce(t,cast(0 as decimal(18,2))) as total_commissions,
+ case when read.from_file in (select from_file from refused) then date '2002-01-31' else date '2001-12-31' end as date_added
+from read left join totals on totals.from_file=read.from_file""")
+def process_files_ledger(t: Tables):
+    """The ledger after two runs: files with a fault are refused whole, and read when they come again without it."""
+    dims = flows.Dimensions(principals=t.sheet_principals, distributor_map=t.distributor_map, invoice_log=t.invoice_log)
+    store = sinks.stager(shared_folder(t.spark))
+    ledger = t.spark.createDataFrame([], "filename string, total_commissions string, date_added date, paid_date date")
+    mended = store(exported_sheets(t, t.sheet_rows.filter(f"not ({FAULTY})")))
+    for raw, day in ((raw_sheets(t), dt.date(2001, 12, 31)), (mended, dt.date(2002, 1, 31))):
+        lines, read, _ = flows.accepted_lines(raw, ledger, ALIASES, dims, day, fill_chunk=tables.row_chunk(), stage=store)
+        ledger = store(files.append_entries(ledger, files.file_entries(lines, day, read)))
+    return ledger.drop("paid_date")
+
+
 @query("incremental_ingest", ("lines",), """
 select from_file, sheet_name, cast(grouping(sheet_name) as int) as level, count(*) as n_lines,
  cast(sum(actual_comm_paid) as decimal(18,2)) as total_commissions
 from lines group by grouping sets ((from_file,sheet_name),(from_file))""")
 def incremental_ingest(t: Tables):
-    """File totals of line items read as a stream of arriving files; equals `file_totals`."""
+    """File totals of line items that arrive in two deliveries of several files, read file by file; equals `file_totals`."""
     folder = f"{shared_folder(t.spark).rstrip('/')}/ingest-{uuid.uuid4().hex}"
-    schema = t.spark.read.parquet(f"{t.sf_dir}/lineitem.parquet").schema
-    stream = ingest.file_stream(t.spark, t.sf_dir, "parquet", schema, pathGlobFilter="lineitem.parquet")
+    lineitem = t.spark.read.parquet(f"{t.sf_dir}/lineitem.parquet")
 
     def totals(batch: DataFrame) -> dict[str, DataFrame]:
         arrived = Tables(batch.sparkSession, t.sf_dir)
         arrived.__dict__["lineitem"] = batch
         return {"file_totals": report.file_totals(arrived.lines)}
 
-    ingest.run_available(stream, folder, totals)
-    return ingest.read_output(t.spark, folder, "file_totals")
+    half = F.pmod(F.xxhash64("l_orderkey"), F.lit(2))
+    for delivery in (0, 1):
+        lineitem.filter(half == delivery).repartition(2, "l_partkey").write.mode("append").parquet(f"{folder}/landing")
+        stream = ingest.file_stream(t.spark, f"{folder}/landing", "parquet", lineitem.schema, maxFilesPerTrigger=1)
+        ingest.run_available(stream, f"{folder}/work", totals)
+    return report.merged_file_totals(ingest.read_output(t.spark, f"{folder}/work", "file_totals"))

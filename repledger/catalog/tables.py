@@ -9,12 +9,16 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 SOURCES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents",
            "embeddings", "pages", "benchmark", "labels", "conversations")
 
-PRINCIPAL_CODES = "ABRISSATSMILOSRGLOQRFXMOGANTRILATINFCOS"
+PRINCIPAL_CODES = ["ABR", "ISS", "ATS", "MIL", "OSR", "GLO", "QRF", "XMO", "GAN", "TRI", "LAT", "INF", "COS"]
+# The code of a brand, by the brand's number.
+PRINCIPAL_CODE = "case cast(substring(p_brand,7) as int)%{n} {whens} end".format(
+    n=len(PRINCIPAL_CODES), whens=" ".join(f"when {k} then '{code}'" for k, code in enumerate(PRINCIPAL_CODES)))
 
 
 def initials(key: str) -> str:
@@ -31,10 +35,15 @@ MONEY = {
     "actual_comm_paid": "cast(cast(l_extendedprice as decimal(12,2))*cast(1-l_discount as decimal(4,2))"
                         "*cast(l_tax as decimal(4,2)) as decimal(18,2))",
 }
-ROW_IDX = ("(((cast(l_orderkey as bigint)*8+l_linenumber)*100000+l_partkey)*10000+l_suppkey)*64"
-           "+cast(l_quantity as bigint)")
-# Orders per chunk of a sheet, in units of row_idx.
-ROW_IDX_CHUNK = 4096 * 8 * 100000 * 10000 * 64
+# A row's place as text that sorts like its values: every part has the digits of its whole type, so no two rows share one.
+ROW_IDX = "concat(%s)" % ",".join(f"lpad(cast({value} as string),{digits},'0')" for value, digits in (
+    ("l_orderkey", 19), ("l_linenumber", 10), ("l_partkey", 19), ("l_suppkey", 19), ("cast(l_quantity as bigint)", 19)))
+
+
+def row_chunk() -> Column:
+    """Chunks of a sheet's consecutive rows: those of so many orders."""
+    return F.expr("cast(substring(row_idx,1,19) as bigint) div 4096")
+
 
 TABLES = {
     "lines": f"""
@@ -143,7 +152,7 @@ select code, concat(code,' ',cast(year(o_orderdate) as string),'.xlsx') as from_
  lpad(cast(l_orderkey as string),12,'0') as invoice, cast(l_shipdate as date) as ship_date,
  {MONEY['invoiced_dollars']} as dollars, {MONEY['paid_on_revenue']} as paid_on, {MONEY['actual_comm_paid']} as comm,
  cast(l_tax as decimal(4,2)) as rate
-from (select *, substring('{PRINCIPAL_CODES}',3*(cast(substring(p_brand,7) as int)%13)+1,3) as code from {{part}}) p
+from (select *, {PRINCIPAL_CODE} as code from {{part}}) p
  join {{lineitem}} on l_partkey=p_partkey join {{orders}} on l_orderkey=o_orderkey
  join {{customer}} on o_custkey=c_custkey join {{supplier}} on l_suppkey=s_suppkey"""
 
@@ -151,17 +160,22 @@ TABLES["invoice_log"] = """
 select lpad(cast(l_orderkey as string),12,'0') as inv_no, p_name as part_number
 from {lineitem} join {part} on l_partkey=p_partkey where l_returnflag='N' and l_linestatus='F'"""
 
-TABLES["sheet_principals"] = """
-select distinct substring('%s',3*(cast(substring(p_brand,7) as int)%%13)+1,3) as abbreviation from {part}
-where substring('%s',3*(cast(substring(p_brand,7) as int)%%13)+1,3) <> 'COS'""" % (PRINCIPAL_CODES, PRINCIPAL_CODES)
+TABLES["sheet_principals"] = f"""
+select distinct {PRINCIPAL_CODE} as abbreviation from {{part}} where {PRINCIPAL_CODE} <> 'COS'"""
 
 PLACEHOLDER = re.compile(r"\{(\w+)\}")
 
 
+SCAN_TASKS = "spark.repledger.scanTasks"
+
+
 def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Use all cores on a file that can only be read by fewer tasks; larger input is left as it is."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, *keys) if df.rdd.getNumPartitions() < cores else df
+    """Deal rows to as many tasks as the session asks for in `SCAN_TASKS`; by default they stay where they are read.
+
+    It is for tables in a single file of one row group, which one task reads.
+    """
+    tasks = df.sparkSession.conf.get(SCAN_TASKS, None)
+    return df.repartition(int(tasks), *keys) if tasks else df
 
 
 class Tables:

@@ -23,22 +23,25 @@ DATE_FORMATS = (
 TIME_SUFFIX = r"[ T]([01]?\d|2[0-3]):[0-5]\d(:[0-5]\d(\.\d+)?)?$"
 
 
-# Fixed value: two-digit years stand for the hundred years before this one.
-CENTURY_ENDS = 2074
+# Fixed value: a two-digit year lies in the hundred years that end so many years after the day of the run.
+YEARS_AHEAD = 50
 
 
-def parse_date(c: Column, century_ends: int = CENTURY_ENDS) -> Column:
+def parse_date(c: Column, as_of: dt.date | None = None) -> Column:
     """Date from text in any of DATE_FORMATS with an optional time of day, else NULL.
 
-    The shape test is made first so that a row tries one pattern only.
+    Two-digit years are read as of the day `as_of`, or else of the day the session is on. The shape test is made first so that a row tries one pattern only.
     """
     text = F.regexp_replace(F.trim(c), TIME_SUFFIX, "")
+    century_ends = (F.year(F.current_date()) if as_of is None else F.lit(as_of.year)) + YEARS_AHEAD
     branches = None
     for shape, pattern in DATE_FORMATS:
         source = F.initcap(text) if "MMM" in pattern else text
         parsed = F.try_to_timestamp(source, F.lit(pattern)).cast("date")
         if pattern.endswith("/yy"):
-            parsed = F.when(F.year(parsed) >= century_ends, F.add_months(parsed, -1200)).otherwise(parsed)
+            within = F.year(parsed) % 100 + F.floor(century_ends / 100) * 100  # in the century of the last such year
+            year = F.when(within >= century_ends, within - 100).otherwise(within)
+            parsed = F.add_months(parsed, ((year - F.year(parsed)) * 12).cast("int"))
         branches = F.when(text.rlike(shape), parsed) if branches is None else branches.when(text.rlike(shape), parsed)
     return branches
 

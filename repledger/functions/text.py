@@ -52,3 +52,15 @@ def city_list(c: Column) -> Column:
 def file_name(path: Column) -> Column:
     """Last component of a slash or backslash path."""
     return F.regexp_extract(path, r"([^/\\]+)$", 1)
+
+
+SPREAD_BY = ("unique_id", "from_file", "sheet_name", "row_idx", "invoice_number", "part_number")
+
+
+def key_or_spread(key: Column, columns: list[str]) -> Column:
+    """The key of a left join, or, where it is NULL, a text that no key equals and that differs from row to row.
+
+    NULL keys would all be dealt to one task. The text is made of those columns of SPREAD_BY that the rows have.
+    """
+    by = [F.col(c) for c in SPREAD_BY if c in columns]
+    return F.coalesce(key, F.concat(F.lit("\u0001"), F.xxhash64(*by).cast("string"))) if by else key

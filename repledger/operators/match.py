@@ -141,7 +141,8 @@ def distributor_hits(names: DataFrame, distributor_map: DataFrame, name: str = "
 def match_distributor(lines: DataFrame, distributor_map: DataFrame, name: str = "reported_distributor") -> DataFrame:
     """Adds `distributor_matches` and sets `distributor` on exactly one hit; a blank name counts as matched (J-4)."""
     hits = distributor_hits(lines, distributor_map, name).withColumnRenamed("name", name)
-    joined = lines.join(hits, name, "left")
+    spread = text.key_or_spread(F.col(name), lines.columns)
+    joined = lines.withColumn("_key", spread).join(hits.withColumnRenamed(name, "_key"), "_key", "left").drop("_key")
     own = F.col("distributor") if "distributor" in lines.columns else F.lit(None).cast("string")
     blank = F.coalesce(F.length(text.alnum_lower(F.col(name))), F.lit(0)) == 0
     return joined.withColumns({
@@ -158,7 +159,8 @@ def tag_current_design_sales(lines: DataFrame, accounts: DataFrame) -> DataFrame
     unique = (one_per_key(accounts.filter(F.col("proper_name").isNotNull()), ["proper_name"], ["sls"], count_as="_n")
               .filter("_n = 1").select(F.col("proper_name").alias("t_end_cust"), F.col("sls").alias("_sls"),
                                        F.lit(True).alias("_acct")))
-    joined = lines.join(unique, "t_end_cust", "left")
+    spread = text.key_or_spread(F.col("t_end_cust"), lines.columns)
+    joined = lines.withColumn("_key", spread).join(unique.withColumnRenamed("t_end_cust", "_key"), "_key", "left").drop("_key")
     fallback = F.coalesce("design_sales", "cm_sales")
     return joined.withColumn("cds", F.when(F.col("_acct"), F.col("_sls")).otherwise(fallback)).drop("_sls", "_acct")
 
@@ -181,15 +183,20 @@ def attach_rates(lines: DataFrame, salespeople: DataFrame) -> DataFrame:
 # --- re-linking entries that lost their id -----------------------------------------------------------
 
 LINK_KEYS = ("reported_customer", "part_number", "from_file")
+FIVE = ("_customer", "_part", "_file", "_paid", "_invoice")
+FOUR = FIVE[:4]
 
 
 def _link_keyed(df: DataFrame) -> DataFrame:
-    base = [text.same_or_blank(F.col(c)) for c in LINK_KEYS]
     paid = F.round(F.coalesce(F.col("actual_comm_paid"), F.lit(0)), 2).cast("decimal(18,2)").cast("string")
-    four = F.sha2(F.concat_ws("\u0001", *base, paid), 256)
-    return df.withColumns({
-        "_k4": four,
-        "match_group": F.sha2(F.concat_ws("\u0001", four, text.same_or_blank(F.col("invoice_number"))), 256)})
+    values = [*[text.same_or_blank(F.col(c)) for c in LINK_KEYS], paid, text.same_or_blank(F.col("invoice_number"))]
+    return df.select("unique_id", *[v.alias(k) for v, k in zip(values, FIVE)])
+
+
+def _group_of() -> Column:
+    """The name of a group of lines that are alike in all five keys."""
+    four = F.sha2(F.concat_ws("\u0001", *FOUR), 256)
+    return F.sha2(F.concat_ws("\u0001", four, FIVE[-1]), 256)
 
 
 def relink(entries: DataFrame, lines: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -201,10 +208,12 @@ def relink(entries: DataFrame, lines: DataFrame) -> tuple[DataFrame, DataFrame]:
     the square of the group.
     """
     ours, theirs = _link_keyed(entries), _link_keyed(lines)
-    by_four = theirs.groupBy("_k4").agg(F.count(F.lit(1)).alias("_n4"), F.min("unique_id").alias("_id4"))
-    by_five = theirs.groupBy("match_group").agg(F.count(F.lit(1)).alias("_n5"), F.min("unique_id").alias("_id5"))
-    joined = (ours.select(F.col("unique_id").alias("entry_id"), "_k4", "match_group")
-              .join(by_four, "_k4", "left").join(by_five, "match_group", "left"))
+    wanted = ours.select(*FOUR).distinct()
+    theirs = theirs.select(*FIVE, "unique_id").join(wanted, [*FOUR], "left_semi")
+    by_five = theirs.groupBy(*FIVE).agg(F.count(F.lit(1)).alias("_n5"), F.min("unique_id").alias("_id5"))
+    by_four = by_five.groupBy(*FOUR).agg(F.sum("_n5").alias("_n4"), F.min("_id5").alias("_id4"))
+    joined = (ours.select(F.col("unique_id").alias("entry_id"), *FIVE).join(by_four, [*FOUR], "left")
+              .join(by_five, [*FIVE], "left").withColumn("match_group", _group_of()))
     n4, n5 = F.coalesce("_n4", F.lit(0)), F.coalesce("_n5", F.lit(0))
     resolved = joined.select(
         "entry_id",
@@ -217,6 +226,6 @@ def relink(entries: DataFrame, lines: DataFrame) -> tuple[DataFrame, DataFrame]:
                      F.coalesce("n_claims", F.lit(0)).alias("n_claims"),
                      (F.coalesce("n_claims", F.lit(0)) > 1).alias("collides")))
     several = links.filter("n_matches > 1").select(F.col("claim").alias("match_group")).distinct()
-    members = (theirs.join(several, "match_group", "left_semi")
+    members = (theirs.withColumn("match_group", _group_of()).join(several, "match_group", "left_semi")
                .select(F.col("match_group").alias("claim"), F.col("unique_id").alias("line_id")))
     return links, members

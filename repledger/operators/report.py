@@ -13,7 +13,8 @@ from repledger.operators import calc, match
 
 GRAND_TOTAL = "Grand Total"
 REPORT_QUARTERS = 5
-MAX_PIVOT_COLUMNS = 1000
+GRID_SLOTS = 8
+BLANK_HEADING = "(blank)"
 MEASURES = {"paid_on_revenue": MONEY, "actual_comm_paid": SHARE, "sales_commission": SHARE}
 
 
@@ -51,30 +52,62 @@ def file_totals(lines: DataFrame) -> DataFrame:
                  F.sum("actual_comm_paid").cast(MONEY).alias("total_commissions")))
 
 
+def merged_file_totals(totals: DataFrame) -> DataFrame:
+    """Totals of several batches as those of all their lines (A-1, T-1)."""
+    return totals.groupBy("from_file", "sheet_name", "level").agg(
+        F.sum("n_lines").alias("n_lines"), F.sum("total_commissions").cast(MONEY).alias("total_commissions"))
+
+
 # --- pivots ------------------------------------------------------------------------------------------
 
 def labels(df: DataFrame, column: str) -> list[str]:
-    """Sorted distinct values of a pivot column: headings, so they have to be few."""
-    rows = df.select(column).distinct().filter(F.col(column).isNotNull()).limit(MAX_PIVOT_COLUMNS + 1).collect()
-    if len(rows) > MAX_PIVOT_COLUMNS:
-        raise ValueError(f"{column}: more than {MAX_PIVOT_COLUMNS} pivot columns")
-    return sorted(r[0] for r in rows)
+    """Sorted distinct values of a pivot column, blank last: all of them, as each becomes a column of the result.
+
+    A column whose values are not few belongs in `pivot_long`, which brings none of them to the driver.
+    """
+    found = [r[0] for r in df.select(_heading(column).alias("h")).distinct().collect()]
+    return sorted(found, key=lambda h: (h == BLANK_HEADING, h))
+
+
+def _heading(column: str) -> Column:
+    return F.coalesce(F.col(column).cast("string"), F.lit(BLANK_HEADING))
+
+
+def pivot_long(df: DataFrame, rows: list[str], col: str, value: str, page: Column | None = None, totals: bool = False,
+               to: str = SHARE) -> DataFrame:
+    """Sum of `value` by `rows` and heading, one row for each cell (A-7..A-10); headings are free in number.
+
+    With `totals`, subtotals over the row fields from the last to the first, each by heading and over all headings:
+    `level` counts as in `rollup`, and `all_headings` is 1 where the cell is a total over the headings.
+    """
+    if page is not None:
+        df = df.filter(page)
+    shown = df.withColumn("heading", _heading(col))
+    total = F.sum(value).cast(to).alias("value")
+    if not totals:
+        return shown.groupBy(*rows, "heading").agg(total)
+    fields = [F.col(c) for c in rows]
+    sets = [fields[:n] + extra for n in range(len(fields), -1, -1) for extra in ([F.col("heading")], [])]
+    level = sum((F.grouping(c).cast("int") * (1 << (len(rows) - 1 - k)) for k, c in enumerate(rows)), F.lit(0))
+    return shown.groupingSets(sets, *fields, F.col("heading")).agg(
+        level.alias("level"), F.grouping("heading").cast("int").alias("all_headings"), total)
 
 
 def pivot_sum(df: DataFrame, rows: list[str], col: str, value: str, page: Column | None = None,
               values: list[str] | None = None, totals: bool = False, to: str = SHARE) -> DataFrame:
     """Sum of `value` by `rows` against the values of `col` (A-7..A-10).
 
-    A single aggregation with one conditional sum per column. `page` is the page filter; `totals` adds
-    subtotals over the row fields (`level` > 0) and a `total` column.
+    A single aggregation with one conditional sum per column; a blank is a heading like any other. `page` is the page
+    filter; `totals` adds subtotals over the row fields (`level` > 0) and a `total` column over all lines, also those
+    whose heading is not among `values`.
     """
     if page is not None:
         df = df.filter(page)
     values = labels(df, col) if values is None else values
-    cells = [F.sum(F.when(F.col(col) == v, F.col(value))).cast(to).alias(v) for v in values]
+    cells = [F.sum(F.when(_heading(col) == v, F.col(value))).cast(to).alias(v) for v in values]
     if not totals:
-        return df.filter(F.col(col).isin(values)).groupBy(*rows).agg(*cells)
-    return (df.filter(F.col(col).isin(values)).rollup(*rows)
+        return df.groupBy(*rows).agg(*cells)
+    return (df.rollup(*rows)
             .agg(F.grouping_id().cast("int").alias("level"), *cells, F.sum(value).cast(to).alias("total")))
 
 
@@ -157,15 +190,38 @@ def quarterly_salespeople(lines: DataFrame, salespeople: DataFrame) -> DataFrame
     return totals_by_person(calc.by_person(lines, salespeople), ("actual_comm_paid", "sales_commission"))
 
 
+def overall_revenue_pivot(tagged: DataFrame, principal: str | None = None) -> DataFrame:
+    """Revenue of all lines by principal page, current salesperson, end customer, part and maker, against quarters (A-8).
+
+    `principal` keeps one page; without it each page's rows carry their principal.
+    """
+    page = None if principal is None else F.col("principal") == principal
+    return pivot_long(tagged, ["principal", "cds", "t_end_cust", "part_number", "cm"], "quarter_shipped",
+                      "paid_on_revenue", page=page, to=MONEY)
+
+
+def commission_pivot(report: DataFrame) -> DataFrame:
+    """Each person's commission by end customer and principal against the report's own months (A-9).
+
+    The pool line is one of the customers. Subtotals by customer and by person, each by month and over all months.
+    """
+    months = report.withColumn("_month", dates.month_key(F.col("comm_month")))
+    shown = pivot_long(months, ["salesperson", "t_end_cust", "principal"], "_month", "sales_commission", totals=True)
+    return shown.filter("level < 7")
+
+
 def statement(report: DataFrame, principals: DataFrame, salespeople: DataFrame) -> DataFrame:
     """Each person's sales commission for every principal, those without sales included, and the total (A-14).
 
-    The people-by-principal grid comes from giving each person the principal list as an array.
+    The report asks for every person and every principal: the grid is the product of the two dimensions, and as large
+    as the statement itself. It is built from their distinct rows, dealt to tasks by person.
     """
-    listed = principals.agg(F.array_sort(F.collect_set(F.struct("abbreviation", "full_name")))).scalar()
-    grid = (match.person_rates(salespeople).select(F.col("sales_initials").alias("salesperson"),
-                                                   F.explode(listed).alias("_p"))
-            .select("salesperson", F.col("_p.abbreviation").alias("principal"), F.col("_p.full_name").alias("full_name")))
+    people = match.person_rates(salespeople).select(F.col("sales_initials").alias("salesperson"))
+    listed = principals.select(F.col("abbreviation").alias("principal"), "full_name").distinct()
+    slots = F.sequence(F.lit(0), F.lit(GRID_SLOTS - 1))
+    grid = (people.withColumn("_slot", F.explode(slots))
+            .join(listed.withColumn("_slot", F.pmod(F.xxhash64("principal", "full_name"), F.lit(GRID_SLOTS)).cast("int")), "_slot")
+            .drop("_slot"))
     sums = report.groupBy("salesperson", "principal").agg(F.sum("sales_commission").alias("_c"))
     filled = grid.join(sums, ["salesperson", "principal"], "left").withColumn("_c", F.coalesce("_c", F.lit(0)))
     person, full = F.col("salesperson"), F.col("full_name")
@@ -191,6 +247,17 @@ def data_quality_counts(lines: DataFrame, as_of: dt.date) -> DataFrame:
         F.max("comm_month").alias("latest_month"))
 
 
+class NotConserved(ValueError):
+    """Lines were merged and their commission total is not what it was."""
+
+
+def require_conserved(check: DataFrame) -> None:
+    """Raise when the totals of `commission_difference` differ (A-15)."""
+    row = check.first()
+    if row["difference"]:
+        raise NotConserved(f"commission was {row['commission_before']}, is {row['commission_after']}")
+
+
 def commission_difference(before: DataFrame, after: DataFrame) -> DataFrame:
     """Commission totals of two tables and their difference; 0 means conserved (A-15)."""
     total = F.sum("actual_comm_paid").cast(MONEY)

@@ -37,17 +37,32 @@ def line_order(df: DataFrame):
     return F.struct(*[c for c in (*ORDER, "unique_id") if c in df.columns])
 
 
+def accepted_lines(raw: DataFrame, ledger: DataFrame, aliases: dict[str, list[str]], dims: Dimensions, as_of: dt.date,
+                   strict: bool = False, stage=None, **options) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Lines of the new files that are free of fatal issues, those files, and the issues of all new files."""
+    fresh = files.new_files(raw, ledger)
+    lines, found = conform.conform(fresh, aliases, dims.principals, dims.distributor_map, dims.invoice_log, stage=stage,
+                                   as_of=as_of, **options)
+    if stage is not None:
+        found = stage(found)
+    if strict:
+        issues.enforce(found)
+    refused = found.filter("fatal and from_file is not null").select("from_file").distinct()
+    read = fresh.select("from_file").distinct().join(refused, "from_file", "left_anti")
+    return lines.join(refused, "from_file", "left_anti"), read, found
+
+
 def process_files(raw: DataFrame, ledger: DataFrame, aliases: dict[str, list[str]], dims: Dimensions, as_of: dt.date,
                   lookup_order=None, running: DataFrame | None = None, strict: bool = False,
                   stage=None) -> dict[str, DataFrame]:
     """New sheets to running lines, entries needing fixing, lookup usage, ledger and issues.
 
-    `stage` may store the mapped sheets and the finished lines, which several outputs read.
+    A file with a fatal issue is refused as a whole: none of its lines runs on, and it gets no ledger entry, so its
+    corrected copy is read in a later run. Every other file that was read gets one, with a total of 0 if no line of it
+    counts. `strict` stops the run instead. `stage` may store the mapped sheets, the issues and the finished lines,
+    which several outputs read. `running` must have the columns of finished lines, no more and no less.
     """
-    fresh = files.new_files(raw, ledger)
-    lines, found = conform.conform(fresh, aliases, dims.principals, dims.distributor_map, dims.invoice_log, stage=stage)
-    if strict:
-        issues.enforce(found)
+    lines, read, found = accepted_lines(raw, ledger, aliases, dims, as_of, strict, stage)
     base = lines.drop("present", "bad_cells", "oem_pos", "sales_region",
                       "customer_hits", "logged_part", "distributor")
     base = base.withColumns({c: F.lit(None).cast(schema.LINE_TYPES.get(c, "string"))
@@ -62,16 +77,15 @@ def process_files(raw: DataFrame, ledger: DataFrame, aliases: dict[str, list[str
         marked = matched = lines = stage(marked)
     done = calc.finish_lines(marked)
     if running is not None:
-        schema.require_same_columns(done.select(*schema.ordered_columns()), running.select(
-            *[c for c in running.columns if c in schema.ordered_columns()]))
-        combined = running.unionByName(done, allowMissingColumns=True)
+        schema.require_same_columns(done, running)
+        combined = running.unionByName(done)
     else:
         combined = done
     return {
         "running": combined,
         "entries_need_fixing": calc.needs_fixing(marked, as_of),
         "lookup_master": match.lookup_usage(matched, dims.lookup_master, as_of, line_order(matched)),
-        "ledger": files.append_entries(ledger, files.file_entries(lines, as_of)),
+        "ledger": files.append_entries(ledger, files.file_entries(lines, as_of, read)),
         "issues": found}
 
 
@@ -83,12 +97,14 @@ def merge_fixed_entries(running: DataFrame, entries: DataFrame, lookup: DataFram
     current, stale, unreadable = merge.quarantine(lookup, as_of)
     found = found.unionByName(issues.issue_rows(unreadable, "quarantine", "UNPARSED_LOOKUP_DATE",
                                                 row_ref="part_number"))
+    check = report.commission_difference(running, merged)
     if strict:
         issues.enforce(found)
+        report.require_conserved(check)
     return {"running": merged, "entries_need_fixing": remaining,
             "lookup_master": current.unionByName(unreadable),
             "quarantined": quarantined.unionByName(stale, allowMissingColumns=True),
-            "check": report.commission_difference(running, merged), "issues": found}
+            "check": check, "issues": found}
 
 
 def migrate_and_report(history: DataFrame, history_files: DataFrame, dims: Dimensions, as_of: dt.date,
@@ -110,15 +126,23 @@ def migrate_and_report(history: DataFrame, history_files: DataFrame, dims: Dimen
     else:
         lines, found = report.latest_month_slice(history), None
         month = report.latest_month(history)
-    revenue = match.tag_current_design_sales(
-        report.revenue_history(history, lines if running is not None else None), dims.accounts)
+    recent = report.revenue_history(history, lines if running is not None else None)
+    revenue = match.tag_current_design_sales(recent, dims.accounts)
+    if stage is not None:
+        revenue = stage(revenue)
     quarter = report.quarter_to_date(history, month)
     if running is not None:
         quarter = quarter.unionByName(lines, allowMissingColumns=True)
     commission = report.commission_report(quarter, dims.salespeople, month)
+    own = report.revenue_by_person(revenue, dims.accounts, dims.salespeople)
+    quarters = report.labels(report.last_quarters(recent), "quarter_shipped")
     out = {
         "lines": lines,
-        "revenue_by_person": report.revenue_by_person(revenue.drop("cds"), dims.accounts, dims.salespeople),
+        "revenue_by_person": own,
+        "revenue_pivot_by_person": report.pivot_sum(own, ["salesperson", "principal", "t_end_cust", "part_number", "cm"],
+                                                    "quarter_shipped", "paid_on_revenue", values=quarters),
+        "overall_revenue_pivot": report.overall_revenue_pivot(revenue),
+        "commission_pivot": report.commission_pivot(commission),
         "revenue_lines": revenue,
         "commission_by_person": commission,
         "salesperson_totals": report.totals_by_person(commission),
@@ -126,30 +150,40 @@ def migrate_and_report(history: DataFrame, history_files: DataFrame, dims: Dimen
         "quarterly_principals": report.principal_totals(quarter, with_rate=True).filter(dates.is_quarter_end(month)),
         "quarterly_salespeople": report.quarterly_salespeople(quarter, dims.salespeople)
         .filter(dates.is_quarter_end(month))}
+    if dims.principals is not None:
+        out["statement"] = report.statement(commission, dims.principals, dims.salespeople)
     if running is not None:
         out["issues"] = found
         out["new_lookups"] = merge.new_lookups(lines, dims.lookup_master, as_of, line_order(lines))
+        out["lookup_master"] = merge.extend_lookup(dims.lookup_master, out["new_lookups"])
         out["history"] = history.unionByName(lines, allowMissingColumns=True)
         out["history_files"] = files.append_entries(history_files, running_files)
     return out
 
 
-def assign_insight(rows: DataFrame, dims: Dimensions) -> dict[str, DataFrame]:
+def assign_insight(rows: DataFrame, dims: Dimensions, strict: bool = False) -> dict[str, DataFrame]:
     """Working columns, salespeople and review flags for insight rows, with duplicate territory cities as issues."""
     twice = insight.duplicate_cities(dims.salespeople)
     found = issues.issue_rows(twice, "assign_insight", "DUPLICATE_CITY", F.col("city"))
+    if strict:
+        issues.enforce(found)
     assigned = insight.assign_sales(insight.insight_columns(rows), dims.accounts, dims.root_customers,
                                     dims.salespeople, F.col("sales_initials"))
     return {"insight_rows": assigned, "issues": found}
 
 
 def compile_insight(rows: DataFrame, master: DataFrame, master_files: DataFrame, dims: Dimensions, as_of: dt.date,
-                    order) -> dict[str, DataFrame]:
-    """Feedback files into the insight master, the root-customer map and the file ledger."""
+                    order, strict: bool = False) -> dict[str, DataFrame]:
+    """Feedback files into the insight master, the root-customer map and the file ledger.
+
+    `strict` stops at an unknown or repeated owner and at a customer that the map lists more than once.
+    """
     own, found = insight.compile_feedback(rows, dims.salespeople)
     mapping = merge.upsert_root_customers(dims.root_customers, own, order)
     found = found.unionByName(issues.issue_rows(mapping.filter("status = 'refused'"), "compile_feedback",
                                                 "DUPLICATE_CUSTOMER", F.col("root_customer")))
+    if strict:
+        issues.enforce(found)
     grown = master.unionByName(own.select(*[c for c in master.columns if c in own.columns and c != "current_sales"]),
                                allowMissingColumns=True)
     refreshed = merge.refresh_current_sales(grown, dims.accounts, mapping.drop("status"), F.col("sls"),

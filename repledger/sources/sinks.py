@@ -20,26 +20,33 @@ def stager(folder: str) -> Callable[[DataFrame], DataFrame]:
     return stage
 
 
-def write_tables(tables: dict[str, DataFrame], root: str, fmt: str = "parquet") -> None:
-    """One folder per table (S-19)."""
-    for name, df in tables.items():
-        writer = df.write.mode("overwrite")
-        if fmt == "csv":
-            writer = writer.option("header", True)
-        writer.format(fmt).save(f"{root}/{name}")
+#: Rows that one task writes of one person or month.
+ROWS_PER_FILE = 1_000_000
 
 
-def write_by_person(report: DataFrame, path: str, person: str = "salesperson", spread: int = 32) -> None:
-    """Every salesperson's report in one job, one folder per person (S-20).
+def clustered(df: DataFrame, key: str, rows_per_file: int = ROWS_PER_FILE) -> DataFrame:
+    """Rows dealt to tasks by `key`; a key with many rows gets a task for about every `rows_per_file` of them."""
+    sizes = df.groupBy(F.col(key).alias("_of")).agg((F.count(F.lit(1)) / rows_per_file).alias("_n")).select(
+        "_of", F.ceil("_n").alias("_slots"))
+    slot = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.coalesce("_slots", F.lit(1)))
+    dealt = df.join(sizes, F.col(key).eqNullSafe(F.col("_of")), "left").withColumn("_slot", slot)
+    return dealt.repartition(F.col(key), F.col("_slot")).drop("_of", "_slots", "_slot")
 
-    A person's rows are spread over `spread` tasks, which bounds both the number of files per folder and
-    the share of one task when a person holds most of the rows.
-    """
-    slot = F.pmod(F.xxhash64(*report.columns), F.lit(spread))
-    report.repartition(F.col(person), slot).write.mode("overwrite").partitionBy(person).parquet(path)
+
+def write_tables(tables: dict[str, DataFrame], root: str, version: str, fmt: str = "parquet") -> None:
+    """A new version of every table, each in its folder (S-19)."""
+    for name, df in tables.items():
+        publish(df, root, name, version, fmt=fmt)
+
+
+def write_by_person(report: DataFrame, path: str, person: str = "salesperson",
+                    rows_per_file: int = ROWS_PER_FILE) -> None:
+    """Every salesperson's report in one job, one folder per person, in as many files as its rows ask for (S-20)."""
+    clustered(report, person, rows_per_file).write.mode("overwrite").partitionBy(person).parquet(path)
 
 
-def publish(df: DataFrame, root: str, table: str, version: str, partition_by: list[str] | None = None) -> str:
+def publish(df: DataFrame, root: str, table: str, version: str, partition_by: list[str] | None = None,
+            fmt: str = "parquet") -> str:
     """Write a new version folder, then add it to the version log; earlier versions stay as backups (S-21).
 
     Nothing is written over a folder that may be being read, so a failed or repeated attempt leaves the
@@ -49,7 +56,9 @@ def publish(df: DataFrame, root: str, table: str, version: str, partition_by: li
     writer = df.write.mode("overwrite")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
+    if fmt == "csv":
+        writer = writer.option("header", True)
+    writer.format(fmt).save(path)
     spark = df.sparkSession
     log = spark.createDataFrame([(version, dt.datetime.now(dt.timezone.utc))], "version string, published_at timestamp")
     log.coalesce(1).write.mode("append").parquet(f"{root}/{table}/_versions")
@@ -71,5 +80,5 @@ def replace_months(changed: DataFrame, path: str, month: str = "comm_month") ->
 
     `changed` must not be read from `path` itself.
     """
-    (changed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    (clustered(changed, month).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(month).parquet(path))

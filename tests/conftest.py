@@ -12,7 +12,7 @@ sys.path.insert(0, os.path.join(ROOT, "tests"))
 def spark(tmp_path_factory):
     from repledger.session import build_session
 
-    session = build_session("tests", "local[8]", spark__sql__shuffle__partitions="4", spark__driver__memory="6g",
+    session = build_session("tests", "local[8]", spark__sql__shuffle__partitions="4", spark__driver__memory="6g", spark__ui__showConsoleProgress="false",
                             spark__checkpoint__dir=str(tmp_path_factory.mktemp("shared")))
     session.sparkContext.setLogLevel("ERROR")
     yield session

@@ -304,5 +304,5 @@ def test_versions_and_months(spark, tmp_path):
         sinks.replace_months(df.filter("v = 2").withColumn("v", F.lit(3)), f"{root}/h")
     assert {(r.comm_month, r.v) for r in spark.read.parquet(f"{root}/h").collect()} == {("jan", 1), ("feb", 3)}
     people = spark.createDataFrame([("AA", 1), ("BB", 2), ("AA", 3)], "salesperson string, v int")
-    sinks.write_by_person(people, f"{root}/r", spread=2)
+    sinks.write_by_person(people, f"{root}/r", rows_per_file=1)
     assert spark.read.parquet(f"{root}/r/salesperson=AA").count() == 2
