@@ -91,19 +91,20 @@ def ordered(rows):
     return sorted(rows, key=lambda r: tuple((x is None, x or 0) for x in r))
 
 
-@pytest.mark.parametrize("rounds", [jaccard.STAR_ROUNDS, 0])
-def test_alike(nasty, none, rounds, monkeypatch):
-    monkeypatch.setattr(jaccard, "STAR_ROUNDS", rounds)
+@pytest.mark.parametrize("small", [jaccard.SMALL, 0])
+def test_alike(nasty, none, small, monkeypatch):
+    monkeypatch.setattr(jaccard, "SMALL", small)
     rows = nasty.collect()
     got = [tuple(r) for r in jaccard.alike(nasty).collect()]
     assert ordered(got) == ordered(groups([r.doc_id for r in rows], [r.text for r in rows]))
     assert jaccard.alike(none).count() == 0
 
 
-@pytest.mark.parametrize("rounds", [jaccard.STAR_ROUNDS, 1])
-def test_alike_in_chains(spark, rounds, monkeypatch):
+@pytest.mark.parametrize("small, block", [(jaccard.SMALL, jaccard.BLOCK_SETS), (0, jaccard.BLOCK_SETS), (0, 4)])
+def test_alike_in_chains(spark, small, block, monkeypatch):
     """Texts that drift apart word by word, in groups of several sizes, and a passage that all share."""
-    monkeypatch.setattr(jaccard, "STAR_ROUNDS", rounds)
+    monkeypatch.setattr(jaccard, "SMALL", small)
+    monkeypatch.setattr(jaccard, "BLOCK_SETS", block)
     rng = random.Random(3)
     passage = [f"p{k}" for k in range(30)]
     texts = []
@@ -121,6 +122,22 @@ def test_alike_in_chains(spark, rounds, monkeypatch):
     assert ordered(got) == ordered(groups(list(range(len(texts))), texts))
 
 
+def test_links_of_a_block(monkeypatch):
+    monkeypatch.setattr(jaccard, "COLUMNS", 7)
+    rng = np.random.default_rng(2)
+    base = rng.integers(0, 10**9, 60).astype(np.uint64)
+    sets = [np.unique(np.append(rng.permutation(base)[: rng.integers(40, 60)], rng.integers(0, 10**9, rng.integers(0, 6)).astype(
+        np.uint64))) for _ in range(40)]
+    for one, two in ((sets[:25], sets[25:]), (sets, sets), (sets[:1], sets[1:2])):
+        want = [[100 * len(np.intersect1d(a, b)) >= 85 * len(np.union1d(a, b)) for b in two] for a in one]
+        links = jaccard._linked(one, two, 85)
+        assert links.tolist() == want
+        rows, columns = jaccard._forest(links)
+        for k, j in zip(*np.nonzero(links)):
+            assert rows[k] == columns[j]
+        assert len(set(rows.tolist()) | set(columns.tolist())) >= 1
+
+
 def test_combinations_meet_for_every_pair_that_links():
     """The pigeonhole holds for sets just alike enough, of all sizes and on either side of a class's bound."""
     rng = np.random.default_rng(4)
