@@ -18,7 +18,7 @@ from repledger.catalog.tables import Tables
 from repledger.functions import dates
 from repledger.operators import calc, conform, issues, report, rules
 from repledger.plans import flows
-from repledger.session import shared_folder
+from repledger.session import remove_at_exit, shared_folder
 from repledger.sources import ledger as files
 from repledger.sources import sinks
 from repledger.streaming import ingest
@@ -79,7 +79,7 @@ def raw_sheets(t: Tables) -> DataFrame:
         path = f"{shared_folder(t.spark).rstrip('/')}/sheets-{uuid.uuid4().hex}"
         files = int(t.spark.conf.get("spark.sql.shuffle.partitions"))
         exported_sheets(t).repartition(files, "from_file", "row_idx").write.parquet(path)
-        LANDED[key] = path
+        LANDED[key] = remove_at_exit(t.spark, path)
     return t.spark.read.schema(exported_sheets(t).schema).parquet(LANDED[key])
 
 
@@ -382,7 +382,7 @@ select from_file, sheet_name, cast(grouping(sheet_name) as int) as level, count(
 from lines group by grouping sets ((from_file,sheet_name),(from_file))""")
 def incremental_ingest(t: Tables):
     """File totals of line items that arrive in two deliveries of several files, read file by file; equals `file_totals`."""
-    folder = f"{shared_folder(t.spark).rstrip('/')}/ingest-{uuid.uuid4().hex}"
+    folder = remove_at_exit(t.spark, f"{shared_folder(t.spark).rstrip('/')}/ingest-{uuid.uuid4().hex}")
     lineitem = t.spark.read.parquet(f"{t.sf_dir}/lineitem.parquet")
 
     def totals(batch: DataFrame) -> dict[str, DataFrame]:

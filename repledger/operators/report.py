@@ -169,9 +169,10 @@ def revenue_by_person(lines: DataFrame, accounts: DataFrame, salespeople: DataFr
     """Lines of each person's revenue report (U-6, F-12, F-15, J-8).
 
     A line goes to its current design salesperson and, where the split is not the standard one, also to
-    a different CM salesperson. One pass serves everybody.
+    a different CM salesperson. One pass serves everybody; lines that carry their current design salesperson already
+    are not tagged again.
     """
-    tagged = match.tag_current_design_sales(lines, accounts)
+    tagged = lines if "cds" in lines.columns else match.tag_current_design_sales(lines, accounts)
     cm = F.when(F.col("cm_split") != calc.DEFAULT_SPLIT, F.col("cm_sales"))
     people = F.array_distinct(F.array_compact(F.array(F.col("cds"), cm)))
     known = match.person_rates(salespeople).select(F.col("sales_initials").alias("salesperson"))

@@ -28,6 +28,13 @@ def build_session(app: str = "repledger", master: str | None = None, **extra: st
     return builder.getOrCreate()
 
 
+def remove_at_exit(spark: SparkSession, folder: str) -> str:
+    """Have the files below `folder`, in whatever store it lies, removed when the driver ends."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(path)
+    return folder
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by `spark.checkpoint.dir`.
 

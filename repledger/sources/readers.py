@@ -52,7 +52,7 @@ def read_feedback(spark: SparkSession, paths: list[str], fmt: str = "csv") -> Da
 
 
 def load_salespeople(df: DataFrame) -> DataFrame:
-    """Salespeople with percentages defaulted to 0 and territory cities as an array (S-4)."""
+    """Salespeople with percentages defaulted to 0 and territory cities as one text, split where they are used (S-4)."""
     df = schema.require_columns(df, "salespeople")
     return df.select(
         text.blank_to_null(F.col("salesperson")).alias("salesperson"),

@@ -9,12 +9,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from repledger.session import remove_at_exit
+
 
 def stager(folder: str) -> Callable[[DataFrame], DataFrame]:
-    """Stores a table in a new folder below `folder` and reads it back; a lost executor costs no recomputation."""
+    """Stores a table in a new folder below `folder` and reads it back; a lost executor costs no recomputation.
+
+    The folders are removed when the driver ends.
+    """
     def stage(df: DataFrame) -> DataFrame:
         path = f"{folder.rstrip('/')}/stage-{uuid.uuid4().hex}"
         df.write.parquet(path)
+        remove_at_exit(df.sparkSession, path)
         return df.sparkSession.read.schema(df.schema).parquet(path)
 
     return stage

@@ -5,7 +5,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from repledger.operators import conform, issues
+from repledger.operators import conform, issues, report
 from repledger.plans import flows
 from repledger.sources import ledger, readers, schema, sinks
 from repledger.streaming import ingest
@@ -186,6 +186,17 @@ def test_the_whole_month(spark, dims, tmp_path):
     assert {r.salesperson for r in reports["salesperson_totals"].collect()} == {"AA", "BB"}
     assert {(r.t_end_cust, r.reported_customer) for r in reports["new_lookups"].collect()} >= {(None, "nobody")}
     assert reports["revenue_by_person"].filter("salesperson = 'BB'").count() > 0
+    pivot = reports["revenue_pivot_by_person"]
+    assert {"2024Q1"} <= set(pivot.columns) and pivot.filter("salesperson = 'BB'").count() > 0
+    overall = reports["overall_revenue_pivot"].collect()
+    assert {r.principal for r in overall} == {"LAT"} and report.BLANK_HEADING in {r.heading for r in overall}
+    cells = reports["commission_pivot"].collect()
+    assert {"2024-02", "2024-03"} <= {r.heading for r in cells} and "MISC POOL" in {r.t_end_cust for r in cells}
+    paid = {r.salesperson: r.value for r in cells if r.level == 3 and r.all_headings == 1}
+    assert paid == {r.salesperson: r.sales_commission for r in reports["salesperson_totals"].filter("level = 1").collect()}
+    due = reports["statement"].filter("level = 0").groupBy("salesperson").count().collect()
+    assert {(r.salesperson, r["count"]) for r in due} == {("AA", 9), ("BB", 9)}
+    assert reports["lookup_master"].count() == 1 + reports["new_lookups"].count()
     with pytest.raises(ledger.FilesAlreadyReported):
         flows.migrate_and_report(history, out["ledger"], dims, AS_OF, running=month, running_files=out["ledger"])
     rerun = flows.migrate_and_report(stage(reports["history"]), old_files, dims, AS_OF)
