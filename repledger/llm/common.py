@@ -12,7 +12,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from repledger.session import shared_folder
+from repledger.session import remove_at_exit, shared_folder
 
 #: A word is a run of other characters than these six: space, tab, line feed, vertical tab, form feed, return.
 WHITE = " \t\n\x0b\x0c\r"
@@ -37,22 +37,16 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     folder = f"{shared_folder(spark)}/llm-{name}-{uuid.uuid4().hex}"
     df.write.parquet(folder)
-    files, path = _files(spark, folder)
-    files.deleteOnExit(path)
-    out = spark.read.schema(df.schema).parquet(folder)
+    out = spark.read.schema(df.schema).parquet(remove_at_exit(spark, folder))
     out.stage_folder = folder
     return out
 
 
 def drop_stage(df: DataFrame) -> None:
     """Remove what `stage` wrote, once nothing that is still to be computed reads it."""
-    files, path = _files(df.sparkSession, df.stage_folder)
-    files.delete(path, True)
-
-
-def _files(spark: SparkSession, folder: str):
-    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    return path.getFileSystem(spark._jsc.hadoopConfiguration()), path
+    spark = df.sparkSession
+    path = spark._jvm.org.apache.hadoop.fs.Path(df.stage_folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def width(spark: SparkSession) -> int:

@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from repledger.llm import extract, fingerprint, jaccard, language, licences, mixing, packing, quality, substrings, tokenfile
-from repledger.llm.common import shared_folder, table, word_count
+from repledger.llm.common import table, word_count
+from repledger.session import remove_at_exit, shared_folder
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -127,6 +128,6 @@ def op9_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op10_token_file")
 def op10_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
-    folder = f"{shared_folder(spark)}/llm-tokenfile-{uuid.uuid4().hex}"
+    folder = remove_at_exit(spark, f"{shared_folder(spark)}/llm-tokenfile-{uuid.uuid4().hex}")
     tokenfile.write_tokens(table(spark, sf_dir, "documents"), folder, tokenizer_file())
     return tokenfile.read_tokens(spark, folder).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
