@@ -16,7 +16,7 @@ from repledger.catalog import tables
 from repledger.catalog.registry import query
 from repledger.catalog.tables import Tables
 from repledger.functions import dates
-from repledger.operators import calc, conform, issues, report, rules
+from repledger.operators import calc, conform, issues, match, report, rules
 from repledger.plans import flows
 from repledger.session import remove_at_exit, shared_folder
 from repledger.sources import ledger as files
@@ -376,6 +376,27 @@ def process_files_ledger(t: Tables):
     return ledger.drop("paid_date")
 
 
+@query("run_counters", (*SHEETS, "lookup_master"), "with " + CHAIN + f""",
+refused as (select distinct from_file from sheet_rows where code='COS' or {FAULTY}),
+look as (select lower(coalesce(reported_customer,'')) as c, lower(part_number) as p, count(*) as n,
+  max(coalesce(cm_sales,design_sales)) as who from lookup_master group by 1, 2),
+kept as (select from_file, count(*) as n_lines, count(*) filter (where n=1 and who is not null) as n_matched
+ from (select * from {ELIGIBLE}) e left join look on c=lower(coalesce(reported_customer,'')) and p=lower(part_number)
+ group by from_file),
+read as (select from_file, count(*) as n_rows from sheet_rows where from_file not in (select from_file from refused) group by 1)
+select read.from_file, n_rows, coalesce(n_lines,0) as n_lines, n_rows-coalesce(n_lines,0) as n_dropped,
+ coalesce(n_matched,0) as n_matched from read left join kept on kept.from_file=read.from_file""")
+def run_counters(t: Tables):
+    """What a run over all sheets read, dropped and matched, by file."""
+    dims = flows.Dimensions(principals=t.sheet_principals, distributor_map=t.distributor_map, invoice_log=t.invoice_log)
+    ledger = t.spark.createDataFrame([], "filename string, total_commissions string, date_added date, paid_date date")
+    store = sinks.stager(shared_folder(t.spark))
+    lines, read, _ = flows.accepted_lines(raw_sheets(t), ledger, ALIASES, dims, dt.date(2001, 12, 31),
+                                          fill_chunk=tables.row_chunk(), stage=store)
+    matched = match.match_lookup(flows.canonical(lines), t.lookup_master, F.col("lookup_id"), with_options=False)
+    return report.run_counters(raw_sheets(t).join(read, "from_file", "left_semi"), matched)
+
+
 @query("incremental_ingest", ("lines",), """
 select from_file, sheet_name, cast(grouping(sheet_name) as int) as level, count(*) as n_lines,
  cast(sum(actual_comm_paid) as decimal(18,2)) as total_commissions

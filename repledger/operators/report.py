@@ -236,6 +236,17 @@ def statement(report: DataFrame, principals: DataFrame, salespeople: DataFrame)
 
 # --- counters and checks -----------------------------------------------------------------------------
 
+def run_counters(read: DataFrame, matched: DataFrame) -> DataFrame:
+    """Per file of a run: rows read, lines that count, rows dropped, lines with exactly one lookup entry (A-16)."""
+    rows = read.groupBy("from_file").agg(F.count(F.lit(1)).alias("n_rows"))
+    kept = matched.groupBy("from_file").agg(
+        F.count(F.lit(1)).alias("n_lines"), F.count_if(F.col("lookup_matches") == 1).alias("n_matched"))
+    none = F.lit(0).cast("bigint")
+    return rows.join(kept, "from_file", "left").select(
+        "from_file", "n_rows", F.coalesce("n_lines", none).alias("n_lines"),
+        (F.col("n_rows") - F.coalesce("n_lines", none)).alias("n_dropped"), F.coalesce("n_matched", none).alias("n_matched"))
+
+
 def data_quality_counts(lines: DataFrame, as_of: dt.date) -> DataFrame:
     """Counters of a run by principal: lines, blanks, zero commissions, bad dates, newest month (A-11, A-12, A-16)."""
     recent = dates.is_recent(F.col("invoice_date"), as_of)

@@ -52,6 +52,14 @@ def accepted_lines(raw: DataFrame, ledger: DataFrame, aliases: dict[str, list[st
     return lines.join(refused, "from_file", "left_anti"), read, found
 
 
+def canonical(lines: DataFrame) -> DataFrame:
+    """Accepted lines with all columns of a finished line, in place of what only the rules needed."""
+    base = lines.drop("present", "bad_cells", "oem_pos", "sales_region",
+                      "customer_hits", "logged_part", "distributor")
+    return base.withColumns({c: F.lit(None).cast(schema.LINE_TYPES.get(c, "string"))
+                             for c in schema.ordered_columns() if c not in base.columns})
+
+
 def process_files(raw: DataFrame, ledger: DataFrame, aliases: dict[str, list[str]], dims: Dimensions, as_of: dt.date,
                   lookup_order=None, running: DataFrame | None = None, strict: bool = False,
                   stage=None) -> dict[str, DataFrame]:
@@ -63,11 +71,7 @@ def process_files(raw: DataFrame, ledger: DataFrame, aliases: dict[str, list[str
     which several outputs read. `running` must have the columns of finished lines, no more and no less.
     """
     lines, read, found = accepted_lines(raw, ledger, aliases, dims, as_of, strict, stage)
-    base = lines.drop("present", "bad_cells", "oem_pos", "sales_region",
-                      "customer_hits", "logged_part", "distributor")
-    base = base.withColumns({c: F.lit(None).cast(schema.LINE_TYPES.get(c, "string"))
-                             for c in schema.ordered_columns() if c not in base.columns})
-    tagged = calc.tag_ids(base)
+    tagged = calc.tag_ids(canonical(lines))
     order = F.col("lookup_id") if lookup_order is None else lookup_order
     matched = match.match_distributor(match.match_lookup(tagged, dims.lookup_master, order), dims.distributor_map)
     valid = F.when(dates.is_recent(F.col("invoice_date"), as_of), F.col("invoice_date"))
@@ -85,6 +89,7 @@ def process_files(raw: DataFrame, ledger: DataFrame, aliases: dict[str, list[str
         "running": combined,
         "entries_need_fixing": calc.needs_fixing(marked, as_of),
         "lookup_master": match.lookup_usage(matched, dims.lookup_master, as_of, line_order(matched)),
+        "counters": report.run_counters(raw.join(read, "from_file", "left_semi"), matched),
         "ledger": files.append_entries(ledger, files.file_entries(lines, as_of, read)),
         "issues": found}
 

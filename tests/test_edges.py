@@ -77,6 +77,7 @@ def test_a_file_is_read_whole_or_not_at_all(spark, dims, tmp_path):  # noqa: F81
     assert {r.from_file for r in out["running"].collect()} == {"LAT 3"}
     assert {r.filename: r.total_commissions for r in out["ledger"].collect()} == {"LAT 2": D(0), "LAT 3": D(7)}
     assert [r.from_file for r in out["issues"].filter("fatal").collect()] == ["LAT 1"]
+    assert {tuple(r) for r in out["counters"].collect()} == {("LAT 2", 1, 0, 1, 0), ("LAT 3", 1, 1, 0, 0)}
     mended = raw(spark, sheet("LAT 1", "good", base()), sheet("LAT 1", "amb", base(Commission="3"), no=1),
                  sheet("LAT 2", "zero", base()), sheet("LAT 3", "s", base()))
     again = flows.process_files(mended, out["ledger"], ALIASES, dims, AS_OF, stage=stage)

@@ -156,6 +156,7 @@ def test_the_whole_month(spark, dims, tmp_path):
     assert not rows[1].is_complete and rows[1].sales_commission is None and len({r.unique_id for r in rows.values()}) == 3
     assert {r.filename: r.total_commissions for r in out["ledger"].collect()} == {"LAT 0": D(5), "LAT 1": D(60)}
     assert out["lookup_master"].first().last_used == AS_OF
+    assert [tuple(r) for r in out["counters"].collect()] == [("LAT 1", 3, 3, 0, 2)]
     again = flows.process_files(files, out["ledger"], ALIASES, dims, AS_OF, stage=stage)
     assert again["running"].count() == 0
 

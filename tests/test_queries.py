@@ -11,7 +11,7 @@ from repledger.catalog import load
 registry = load()
 
 SF = "/root/testdata/sf0.001"
-EAGER = ("incremental_ingest", "process_files_ledger")
+EAGER = ("incremental_ingest", "process_files_ledger", "run_counters")
 
 
 @pytest.fixture(scope="module")
