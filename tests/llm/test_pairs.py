@@ -124,18 +124,28 @@ def test_alike_in_chains(spark, small, block, monkeypatch):
 
 def test_links_of_a_block(monkeypatch):
     monkeypatch.setattr(jaccard, "COLUMNS", 7)
+    monkeypatch.setattr(jaccard, "ROWS", 9)
     rng = np.random.default_rng(2)
     base = rng.integers(0, 10**9, 60).astype(np.uint64)
     sets = [np.unique(np.append(rng.permutation(base)[: rng.integers(40, 60)], rng.integers(0, 10**9, rng.integers(0, 6)).astype(
         np.uint64))) for _ in range(40)]
     for one, two in ((sets[:25], sets[25:]), (sets, sets), (sets[:1], sets[1:2])):
         want = [[100 * len(np.intersect1d(a, b)) >= 85 * len(np.union1d(a, b)) for b in two] for a in one]
-        links = jaccard._linked(one, two, 85)
-        assert links.tolist() == want
-        rows, columns = jaccard._forest(links)
+        parts = list(jaccard._linked(one, two, 85))
+        links = np.concatenate([p for _, p in parts])
+        assert links.tolist() == want and [k for k, _ in parts] == list(range(0, len(one), 9))
+        root = list(range(len(one) + len(two)))
+
+        def find(x):
+            while root[x] != x:
+                x = root[x]
+            return x
+
         for k, j in zip(*np.nonzero(links)):
-            assert rows[k] == columns[j]
-        assert len(set(rows.tolist()) | set(columns.tolist())) >= 1
+            root[find(int(k))] = find(len(one) + int(j))
+        labels = jaccard._forest(parts, len(one), len(two)).tolist()
+        same = {(find(a), labels[a]) for a in range(len(root))}
+        assert len(same) == len({r for r, _ in same}) == len({x for _, x in same})
 
 
 def test_combinations_meet_for_every_pair_that_links():
