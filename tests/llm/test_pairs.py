@@ -171,6 +171,45 @@ def test_combinations_meet_for_every_pair_that_links():
             assert set(tokens[first == 0].tolist()) & set(tokens[first == 1].tolist())
 
 
+def only(*tokens):
+    """Sets of these tokens alone, without texts."""
+    own = jaccard.Sets.__new__(jaccard.Sets)
+    own.owner = np.repeat(np.arange(len(tokens)), [len(t) for t in tokens])
+    own.tokens = np.concatenate([np.sort(t) for t in tokens])
+    own.bounds = np.searchsorted(own.owner, np.arange(len(tokens) + 1))
+    own.sizes = np.diff(own.bounds)
+    return own
+
+
+@pytest.mark.parametrize("percent", [80, 85])
+def test_deals_of_long_texts_end(percent, monkeypatch):
+    """A set that is indexed in the next class fills enough buckets there in a few deals; a deal mixes four times."""
+    calls, mix = [], jaccard.mix
+
+    def counted(x):
+        calls.append(1)
+        assert len(calls) < 100, "deals without end"
+        return mix(x)
+
+    monkeypatch.setattr(jaccard, "mix", counted)
+    rng = np.random.default_rng(6)
+    for bound in (42, 1152, 30948, 202824):
+        tokens = rng.integers(0, 2**63, int((percent + 0.1) * bound / 100) + 1, dtype=np.int64).astype(np.uint64)
+        calls.clear()
+        assert len(only(np.unique(tokens)).combinations(percent)[1])
+
+
+def test_buckets_of_every_class():
+    """More buckets than may differ are expected to be filled at the least size of each class, up to 10^9 tokens."""
+    for percent in range(80, 100):
+        bounds = jaccard.class_bounds(10**9)
+        for low, high in zip(bounds, bounds[1:]):
+            apart, least = jaccard.most_apart(high, percent), -(-percent * low // 100)
+            buckets = jaccard.buckets_for(apart, least)
+            assert buckets * -np.expm1(least * np.log1p(-1 / buckets)) > apart if apart else buckets == 1
+            assert buckets <= 1.5 * apart + 8
+
+
 def test_components(spark):
     rng = random.Random(2)
     pairs = [(k, k + 1) for k in range(100, 160)] + [(rng.randrange(1000, 1100), rng.randrange(1000, 1100)) for _ in range(80)]
