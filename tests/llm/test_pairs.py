@@ -210,6 +210,18 @@ def test_buckets_of_every_class():
             assert buckets <= 1.5 * apart + 8
 
 
+def test_combinations_are_a_texts_own():
+    """They are the same beside a far longer text, for the sets close below each class's bound."""
+    rng = np.random.default_rng(7)
+    bounds = jaccard.class_bounds(60_000)
+    long = rng.integers(0, 2**63, 60_000, dtype=np.int64).astype(np.uint64)
+    for bound in bounds[2:-2]:
+        for n in {bound - 1, bound, int(0.9 * bound)}:
+            tokens = rng.integers(0, 2**63, n, dtype=np.int64).astype(np.uint64)
+            alone, beside = only(tokens).combinations(85), only(tokens, long).combinations(85)
+            assert sorted(alone[1].tolist()) == sorted(beside[1][beside[0] == 0].tolist()), n
+
+
 def test_components(spark):
     rng = random.Random(2)
     pairs = [(k, k + 1) for k in range(100, 160)] + [(rng.randrange(1000, 1100), rng.randrange(1000, 1100)) for _ in range(80)]
