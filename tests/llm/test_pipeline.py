@@ -1,6 +1,7 @@
 """The queries of the operators against their SQL, and the pipeline stage by stage."""
 
 import os
+import random
 
 import corpus_pipeline as pipeline
 import numpy as np
@@ -60,6 +61,22 @@ def test_stages_keep_what_they_should(kept):
     assert pieces[pieces.start == 0].doc_id.value_counts().to_dict() == mixed.doc_id.value_counts().to_dict()
 
 
+def test_near_copies_of_the_pipeline(spark):
+    """Texts with their last part replaced: 5-word similarities on either side of 80 per cent."""
+    rng = random.Random(8)
+    rows, kept = [], set()
+    for k, share in enumerate((0.04, 0.08, 0.1, 0.105, 0.13, 0.2)):
+        text = [f"w{rng.randint(0, 10**6)}" for _ in range(400)]
+        at = round(400 * (1 - share))
+        other = text[:at] + [f"v{rng.randint(0, 10**6)}" for _ in range(400 - at)]
+        one, two = ({tuple(w[j : j + 5]) for j in range(396)} for w in (text, other))
+        kept |= {2 * k} if 100 * len(one & two) >= 80 * len(one | two) else {2 * k, 2 * k + 1}
+        rows += [(2 * k, " ".join(text)), (2 * k + 1, " ".join(other))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = pipeline.one_of_each(spark, docs, SF)
+    assert sorted(r.doc_id for r in got.collect()) == sorted(kept) and {1, 3, 5, 7} & kept == set() and {9, 11} <= kept
+
+
 @pytest.mark.parametrize("stage", range(5))
 def test_stages_take_any_rows(spark, nasty, stage):
     columns = ["doc_id", "text", "lang", "source"]
