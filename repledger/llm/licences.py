@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from repledger.llm.licence_digests import DIGESTS
+
 # Notices and texts of well-known public licences. More can be given as a table (license_id, text).
 NOTICES = [
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
@@ -62,6 +64,38 @@ TEXTS = [
         "altered from any source distribution.")),
 ]
 
+_BSD = (
+    "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the "
+    "following conditions are met:\n\n{0}Redistributions of source code must retain the above copyright notice, this list "
+    "of conditions and the following disclaimer.\n\n{1}Redistributions in binary form must reproduce the above copyright "
+    "notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided "
+    "with the distribution.\n\n{2}THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY "
+    "EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS "
+    "FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT {3} OR CONTRIBUTORS BE LIABLE FOR ANY "
+    "DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, "
+    "PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED "
+    "AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) "
+    "ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.")
+_ENDORSE = (
+    "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products "
+    "derived from this software without specific prior written permission.\n\n")
+#: Wordings of the BSD licences: points by number or not, and whose liability it is.
+BSD = [
+    (name, _BSD.format(one, two, three, whose)) for whose in ("HOLDER", "HOLDERS", "OWNER") for name, one, two, three in (
+        ("BSD-2-Clause", "1. ", "2. ", ""), ("BSD-2-Clause", "", "", ""),
+        ("BSD-3-Clause", "1. ", "2. ", "3. " + _ENDORSE), ("BSD-3-Clause", "", "", _ENDORSE))]
+#: Title lines that licence files begin with. A file of the line `MIT License` and the text is not taken as MIT.
+TITLES = {
+    "MIT": ("The MIT License", "The MIT License (MIT)"),
+    "ISC": ("ISC License", "The ISC License"),
+    "0BSD": ("BSD Zero Clause License", "Zero-Clause BSD", "BSD 0-Clause License"),
+    "Zlib": ("zlib License", "The zlib License"),
+    "BSD-2-Clause": ("BSD 2-Clause License", "The BSD 2-Clause License", "The 2-Clause BSD License",
+                     "BSD 2-Clause \"Simplified\" License", "BSD License", "The BSD License"),
+    "BSD-3-Clause": ("BSD 3-Clause License", "The BSD 3-Clause License", "The 3-Clause BSD License",
+                     "BSD 3-Clause \"New\" or \"Revised\" License", "BSD License", "The BSD License"),
+}
+
 #: Steps to the canonical form, on lower case: pattern and replacement, in patterns that Java and RE2 read alike.
 STEPS = [
     (r"(^|\n)[ \t]*(copyright|\(c\)|©)[^\n]*", r"\n"),  # copyright lines
@@ -96,11 +130,15 @@ def digest(text: Column) -> Column:
 
 def known(spark: SparkSession, more: DataFrame | None = None) -> DataFrame:
     """(license_id, digest, unit): texts count against whole documents, notices against lines as well."""
-    rows = [(i, t, "line") for i, t in NOTICES] + [(i, t, "text") for i, t in TEXTS]
+    texts = TEXTS + BSD
+    texts = texts + [(i, f"{title}\n\n{t}") for i, t in texts for title in TITLES[i]]
+    rows = [(i, t, "line") for i, t in NOTICES] + [(i, t, "text") for i, t in texts]
     df = spark.createDataFrame(rows, "license_id string, text string, unit string")
     if more is not None:
         df = df.unionByName(more.select("license_id", "text", F.lit("text").alias("unit")))
-    return df.select("license_id", digest(F.col("text")).alias("known_digest"), "unit").distinct()
+    long = spark.createDataFrame([(i, d, "text") for i, ds in DIGESTS.items() for d in ds],
+                                 "license_id string, known_digest string, unit string")
+    return df.select("license_id", digest(F.col("text")).alias("known_digest"), "unit").unionByName(long).distinct()
 
 
 def scan(docs: DataFrame, licences: DataFrame | None = None) -> DataFrame:

@@ -3,6 +3,7 @@
 import itertools
 import re
 from collections import Counter, defaultdict
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -123,6 +124,26 @@ def test_licences(spark, nasty, none):
     assert own.text_license == "own"
 
 
+def test_licences_of_whole_files(spark):
+    """Licence files with title and copyright line, and published long texts where this system has them."""
+    bsd = dict(licences.BSD)
+    isc, zlib = dict(licences.TEXTS)["ISC"], dict(licences.TEXTS)["Zlib"]
+    rows = [("BSD-2-Clause", bsd["BSD-2-Clause"]), ("BSD-3-Clause", "BSD 3-Clause License\n\nCopyright (c) 2020, A\n\n" + bsd["BSD-3-Clause"]),
+            ("BSD-2-Clause", "  * " + bsd["BSD-2-Clause"].replace("\n\n", "\n\n  * ")), ("ISC", "ISC License\n\nCopyright 2020 A\n\n" + isc),
+            ("Zlib", "zlib License\n\n(C) 2020 A\n\n" + zlib), (None, "ISC License\n\n" + zlib), (None, bsd["BSD-2-Clause"] + " More.")]
+    names = {"Apache-2.0": "Apache-2.0", "GPL-2": "GPL-2.0", "GPL-3": "GPL-3.0", "LGPL-2.1": "LGPL-2.1", "LGPL-3": "LGPL-3.0",
+             "MPL-2.0": "MPL-2.0", "CC0-1.0": "CC0-1.0"}
+    for name, license_id in names.items():
+        file = Path("/usr/share/common-licenses") / name
+        if file.exists():
+            text = file.read_text(encoding="utf-8")
+            rows += [(license_id, text), (license_id, re.sub(r"(?<=\S)[ \t]*\n[ \t]*(?=\S)", " ", text))]
+    docs = spark.createDataFrame([(k, t) for k, (_, t) in enumerate(rows)], "doc_id long, text string")
+    got = {r.doc_id: r.text_license for r in licences.scan(docs).collect()}
+    assert got == {k: i for k, (i, _) in enumerate(rows)}
+    assert {len(d) for ds in licences.DIGESTS.values() for d in ds} == {64}
+
+
 def test_language_of_held_out_documents(sample):
     docs = sample("documents")
     model = language.fit(docs.where(~language.held_out()))
