@@ -37,12 +37,12 @@ _OTHER = len(_SCRIPT_NAMES) - 1
 
 
 def _tables() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Of each code point of the basic plane: is it a letter, its lower case, its script."""
-    chars = [chr(c) for c in range(1 << 16)]
+    """Of each code point of the first two planes: is it a letter, its lower case, its script."""
+    chars = [chr(c) for c in range(1 << 17)]
     letter = np.array([c.isalpha() for c in chars])
     low = np.array([ord(l) if len(l := c.lower()) == 1 else ord(c) for c in chars], np.uint32)
-    k = np.clip(np.searchsorted(_STARTS, np.arange(1 << 16), "right") - 1, 0, None)
-    inside = (np.arange(1 << 16) >= _STARTS[k]) & (np.arange(1 << 16) <= _ENDS[k])
+    k = np.clip(np.searchsorted(_STARTS, np.arange(1 << 17), "right") - 1, 0, None)
+    inside = (np.arange(1 << 17) >= _STARTS[k]) & (np.arange(1 << 17) <= _ENDS[k])
     return letter, low, np.where(inside, _SCRIPT_IDS[k], _OTHER).astype(np.int8)
 
 
@@ -73,13 +73,13 @@ def words_of(texts: list[str]) -> Letters:
     flat = np.frombuffer("\n".join([*texts, ""]).encode("utf-32-le", "surrogatepass"), np.uint32)
     sizes = np.array([len(t) + 1 for t in texts], np.int64)
     first = np.cumsum(sizes) - sizes
-    plane = np.minimum(flat, 0xFFFF)
-    is_letter = letter[plane] | (flat > 0x1FFFF)  # beyond the basic plane: ideographs
-    scripts = np.where(flat > 0xFFFF, _OTHER, script[plane]).astype(np.int8)
+    plane = np.minimum(flat, 0x1FFFF)
+    is_letter = letter[plane] | (flat > 0x1FFFF)  # beyond the first two planes: ideographs
+    scripts = script[plane]
     starts = np.flatnonzero(is_letter & ~np.append(False, is_letter[:-1]))
     ends = np.flatnonzero(is_letter & ~np.append(is_letter[1:], False)) + 1
     lengths = ends - starts
-    chars = np.where(is_letter, np.where(flat > 0xFFFF, flat, low[plane]), 32).astype(np.uint64)
+    chars = np.where(is_letter, np.where(flat > 0x1FFFF, flat, low[plane]), 32).astype(np.uint64)
     # A space stands on either side of each run, so n-grams know the ends of words.
     before, after = np.append(np.uint64(32), chars[:-1]), np.append(chars[1:], np.uint64(32))
     a, b, c = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9)

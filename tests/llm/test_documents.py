@@ -152,6 +152,16 @@ def test_language_of_held_out_documents(sample):
     assert right >= 0.97
 
 
+def test_letters_of_the_second_plane():
+    """Gothic, Deseret, Adlam and mathematical letters are letters; emoji and the planes' last code points are none."""
+    texts = ["\U00010330\U00010331", "\U00010400\U00010428 x", "\U0001E900", "\U0001D400", "\U0001F600\uFFFF\U0001FFFF", "\U00020000"]
+    assert language.words_of(texts).text_of.tolist() == [0, 1, 1, 2, 3, 5]
+    upper, lower = language.words_of(["\U00010400"]), language.words_of(["\U00010428"])
+    assert (upper.cells == lower.cells).all()
+    model = language.Model(["one two three", "un deux trois"], ["en", "fr"])
+    assert [label != "und" for label, _, _ in model.label(texts)] == [True, True, True, True, False, True]
+
+
 def test_language_spans_and_edges(sample, nasty, none):
     docs = sample("documents").where("lang in ('en', 'fr')")
     model = language.fit(docs)
