@@ -77,6 +77,21 @@ def test_near_copies_of_the_pipeline(spark):
     assert sorted(r.doc_id for r in got.collect()) == sorted(kept) and {1, 3, 5, 7} & kept == set() and {9, 11} <= kept
 
 
+def test_copies_that_share_an_id(spark):
+    """Of rows of one id, only those go whose own text is a copy; near copies of one id are one."""
+    rng = random.Random(11)
+    a, b, c = ([f"w{rng.randint(0, 10**6)}" for _ in range(100)] for _ in range(3))
+    near = " ".join([*c, "more"])
+    a, b, c = " ".join(a), " ".join(b), " ".join(c)
+    rows = [(1, a, "en"), (2, a, "en"), (2, b, "en"), (3, c, "en"), (3, near, "en"), (3, c, "fr"), (4, b, "en"), (None, a, "en"),
+            (5, None, "en"), (5, None, "fr"), (5, None, "fr")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = [tuple(r) for r in pipeline.one_of_each(spark, docs, SF).collect()]
+    threes = [r for r in got if r[0] == 3]
+    assert len(threes) == 1 and threes[0] in rows
+    assert sorted(map(str, got)) == sorted(map(str, [(1, a, "en"), (2, b, "en"), *threes, (None, a, "en"), (5, None, "en"), (5, None, "fr")]))
+
+
 @pytest.mark.parametrize("stage", range(5))
 def test_stages_take_any_rows(spark, nasty, stage):
     columns = ["doc_id", "text", "lang", "source"]
