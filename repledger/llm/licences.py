@@ -115,7 +115,7 @@ STEPS = [
     (r"\bcreative commons attribution\b", "cc by"),
     (r"\bgnu general public license\b|\bgnu gpl\b|\bgpl\b", "gnu gpl"),
 ]
-#: Lines of more characters than this times the longest notice are no notice, whatever their canonical form.
+#: Lines of more letters and digits than this times the longest notice are no notice, whatever their canonical form.
 SLACK = 4
 
 
@@ -156,11 +156,11 @@ def scan(docs: DataFrame, licences: DataFrame | None = None) -> DataFrame:
     licences = known(docs.sparkSession, licences)
     rows = docs.select("doc_id", digest(body).alias("text_digest"))
     longest = SLACK * max(len(t) for _, t in NOTICES)
-    lines = docs.select("doc_id", "text").select(
-        "doc_id", F.explode(F.array_distinct(F.filter(F.split("text", "\n"), lambda x: F.length(x).between(1, longest)))).alias("line"),
-        "text")
-    # Few lines name a licence at all: the words below stand in every notice, so no hit is lost.
-    lines = lines.where(F.lower("line").rlike("under"))
+    # Few lines name a licence at all: the word below stands in every notice, so no hit is lost.
+    named = F.array_distinct(F.filter(F.split("text", "\n"), lambda x: F.lower(x).contains("under")))
+    lines = docs.select("doc_id", F.explode(named).alias("line"), "text")
+    # What the canonical form folds, such as rules and padding, doesn't count.
+    lines = lines.where(F.length(F.regexp_replace(F.lower("line"), r"https?://|[^\p{L}\p{N}]+", "")) <= longest)
     hits = lines.withColumn("line_digest", digest(F.col("line")))
     notices = licences.where("unit = 'line'").select(F.col("license_id").alias("line_license"), "known_digest")
     hits = hits.join(notices, F.col("line_digest") == F.col("known_digest")).select(

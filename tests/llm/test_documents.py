@@ -124,6 +124,15 @@ def test_licences(spark, nasty, none):
     assert own.text_license == "own"
 
 
+def test_notices_in_padded_lines(spark):
+    """A ruled or padded line is folded by the canonical form, however long it is; other words still count."""
+    notice = "Licensed under the MIT License."
+    rows = [(1, f"a\n{'-' * n} {notice} {'=' * n}\nb") for n in (10, 200, 400, 5000)] + [(1, "a\n" + " " * 9000 + notice)]
+    rows += [(2, f"a\n{notice} {'word ' * n}\nb") for n in (1, 400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {(r.doc_id, tuple(r.line_licenses)) for r in licences.scan(docs).collect()} == {(1, ("MIT",)), (2, ())}
+
+
 def test_licences_of_whole_files(spark):
     """Licence files with title and copyright line, and published long texts where this system has them."""
     bsd = dict(licences.BSD)
