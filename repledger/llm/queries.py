@@ -1,4 +1,4 @@
-"""The queries of the ten operators over the driver's tables; SQL beside those that SQL can express."""
+"""The queries of the operators over the driver's tables; SQL beside those that SQL can express."""
 
 from __future__ import annotations
 
@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from repledger.llm import extract, fingerprint, jaccard, language, licences, mixing, packing, quality, substrings, tokenfile
+from repledger.llm import extract, fingerprint, jaccard, language, licences, mixing, packing, quality, search, substrings, tokenfile
 from repledger.llm.common import table, word_count
 from repledger.session import remove_at_exit, shared_folder
 
@@ -131,3 +131,8 @@ def op10_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = remove_at_exit(spark, f"{shared_folder(spark)}/llm-tokenfile-{uuid.uuid4().hex}")
     tokenfile.write_tokens(table(spark, sf_dir, "documents"), folder, tokenizer_file())
     return tokenfile.read_tokens(spark, folder).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+@query("op11_search", search.SEARCH_SQL)
+def op11_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search.rank(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
