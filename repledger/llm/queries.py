@@ -7,7 +7,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from repledger.llm import extract, fingerprint, jaccard, language, licences, mixing, packing, quality, search, substrings, tokenfile
+from repledger.llm import (alignment, extract, fingerprint, jaccard, language, licences, lm, mixing, packing, quality, search,
+                           substrings, tokenfile)
 from repledger.llm.common import table, word_count
 from repledger.session import remove_at_exit, shared_folder
 
@@ -24,10 +25,10 @@ def query(name: str, oracle: str | None = None):
     return register
 
 
-def tokenizer_file() -> str:
+def tokenizer_file(name: str = "word_bpe_49k.json") -> str:
     import public_tokenizers
 
-    return public_tokenizers.path("word_bpe_49k.json")
+    return public_tokenizers.path(name)
 
 
 BASE_SQL = """
@@ -136,3 +137,16 @@ def op10_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op11_search", search.SEARCH_SQL)
 def op11_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search.rank(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op12_score")
+def op12_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = lm.fit(docs.where(lm.learnt()))
+    return lm.score(docs, model).select("doc_id", lm.held_out().alias("held_out"), "n_tokens", "n_known",
+                                        F.lit(model.train_tokens).cast("long").alias("train_tokens"), "base_score", "score")
+
+
+@query("op13_align")
+def op13_align(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"), tokenizer_file("piece_bpe_32k.model"))
