@@ -177,7 +177,7 @@ def test_rare_tokens_and_rare_grams(nasty):
     """With room for few frequent tokens the table gives the rest; with few n-grams the rare ones stay out of the filter."""
     full, few = lm.fit(nasty.where(lm.learnt())), lm.fit(nasty.where(lm.learnt()), frequent=4, share=64)
     assert len(few.frequent.value[0]) <= 4 and few.least > 1
-    assert len(few.table.value.data) < len(full.table.value.data) / 10
+    assert len(few.table.value.words) < len(full.table.value.words) / 10
     cols = ("doc_id", "n_tokens", "n_known", F.round("base_score", 6))
     assert sorted(pairs(lm.score(nasty, few), *cols), key=repr) == sorted(pairs(lm.score(nasty, full), *cols), key=repr)
 
@@ -201,7 +201,7 @@ def test_filter_keeps_every_level():
         tail, held = lm._unpacked(tails, counts)
         assert held.tolist() == n[n < 300][at : at + len(held)].tolist()
         at += len(held)
-        parts[part] = lm.part_bits(tail, lm.levels(held))
+        parts[part] = lm.part_words(tail, lm.levels(held))
     table = lm.Filter(parts, 8)
     found, true = table.level(key[n < 300]), lm.levels(n[n < 300])
     assert (found >= true).all() and (found > true).mean() < 0.02
