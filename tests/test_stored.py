@@ -1,0 +1,215 @@
+"""Files chosen before they are read, and the history stored by month."""
+
+import datetime as dt
+import json
+from decimal import Decimal
+from pathlib import Path
+
+import pytest
+from pyspark.sql import functions as F
+
+from repledger.catalog import stored
+from repledger.catalog.tables import Tables
+from repledger.operators import merge, report
+from repledger.sources import history, landing, ledger, readers, schema, sinks
+
+D = Decimal
+SF = "/root/testdata/sf0.001"
+LINE = ("unique_id string, comm_month date, quarter_shipped string, principal string, from_file string, sheet_name string, "
+        "paid_on_revenue decimal(18,2), actual_comm_paid decimal(18,2), sales_commission decimal(18,4), cm_sales string, "
+        "design_sales string, cm_split int")
+
+
+def row(file, n=0):
+    return json.dumps({"from_file": file, "sheet_name": "s", "sheet_no": 0, "row_idx": n, "cells": {"a": "1"}})
+
+
+def known(spark, *names):
+    return spark.createDataFrame([(n,) for n in names], "filename string")
+
+
+def month(k):
+    return dt.date(2000 + k // 12, k % 12 + 1, 1)
+
+
+def line(uid, k, quarter, principal="P", paid="1.00", file="f", people=("AA", "BB")):
+    return (uid, None if k is None else month(k), quarter, principal, file, "s", D(paid) * 10, D(paid), D(paid) / 2, *people, 20)
+
+
+@pytest.fixture
+def people(spark):
+    return spark.createDataFrame([("Ann", "AA", D(50), D(4)), ("Bob", "BB", D(40), D(4))],
+                                 "salesperson string, sales_initials string, sales_percentage decimal(9,6), qq_split decimal(9,6)")
+
+
+@pytest.fixture
+def store(spark, tmp_path):
+    rows = [line(f"l{k}-{n}", k, f"2000Q{1 + k % 12 // 3}", "PQ"[n % 2]) for k in range(18) for n in range(3)]
+    rows += [line("none", None, "2000Q1"), line("none2", None, None), line("twice", 2, "2000Q1"), line("twice", 9, "2000Q4")]
+    out = history.Store(spark, str(tmp_path / "history"))
+    sinks.replace_months(spark.createDataFrame(rows, LINE), out.path("lines"))
+    return out
+
+
+def files_of(store, table="lines"):
+    return {str(p): p.stat().st_mtime_ns for p in Path(store.path(table)).rglob("*.parquet")}
+
+
+def of_month(found, k):
+    return {p for p in found if f"comm_month={month(k)}" in p}
+
+
+# --- landing -----------------------------------------------------------------------------------------
+
+def test_known_files_are_not_opened(spark, tmp_path):
+    for name in ("LAT 1.xlsx", "A+B 50%.xlsx"):
+        (tmp_path / f"{name}.json").write_text(row("another name"))
+    (tmp_path / "known.xlsx.json").write_bytes(b"\xff\x00 no json {")
+    (tmp_path / "from_file=bad.xlsx").mkdir()
+    (tmp_path / "from_file=bad.xlsx" / "part.json").write_bytes(b"\xff{{{")
+    landing.land_sheets(spark.createDataFrame([("Q 1:2.xlsx", "s", 0, n, {"a": "1"}) for n in (0, 1)], schema.RAW_SHEETS), str(tmp_path))
+    rows = landing.read_new_sheets(spark, str(tmp_path), known(spark, "known.xlsx", "bad.xlsx", "elsewhere"))
+    assert sorted((r.from_file, r.row_idx) for r in rows.collect()) == [
+        ("A+B 50%.xlsx", 0), ("LAT 1.xlsx", 0), ("Q 1:2.xlsx", 0), ("Q 1:2.xlsx", 1)]
+    assert not any("known.xlsx" in f or "bad.xlsx" in f for f in rows.inputFiles())
+    assert all(r.cells == {"a": "1"} for r in rows.collect())
+
+
+def test_the_listing_reads_nothing(spark, tmp_path):
+    (tmp_path / "x.json").write_text(row("x"))
+    listed = landing.listed_files(spark, str(tmp_path))
+    assert "content" not in listed._jdf.queryExecution().executedPlan().toString().split("ReadSchema")[1]
+    assert [(r.filename, r.length) for r in listed.collect()] == [("x", len(row("x")))]
+    nothing = landing.read_new_sheets(spark, str(tmp_path), known(spark, "x"))
+    assert nothing.count() == 0 and nothing.columns == ["from_file", "sheet_name", "sheet_no", "row_idx", "cells"]
+    with pytest.raises(ValueError, match="format"):
+        landing.read_new_sheets(spark, str(tmp_path), known(spark, "x"), "xlsx")
+
+
+def test_chosen_files_equal_the_anti_join(spark, tmp_path):
+    for n in range(6):
+        (tmp_path / f"f{n}.json").write_text(row(f"f{n}"))
+    done = known(spark, "f1", "f4")
+    everything = readers.read_raw_sheets(spark, str(tmp_path))
+    assert sorted(map(str, landing.read_new_sheets(spark, str(tmp_path), done).collect())) == sorted(
+        map(str, ledger.new_files(everything, done).collect()))
+
+
+# --- months ------------------------------------------------------------------------------------------
+
+def test_months_come_from_the_listing(spark, store, tmp_path):
+    for p in Path(store.path("lines")).rglob("*.parquet"):
+        p.write_bytes(b"no parquet")  # names are enough
+    assert history.latest_stored_month(store) == month(17)
+    assert {r[0] for r in history.stored_months(store).collect()} == {None, *(month(k) for k in range(18))}
+    empty = history.Store(spark, str(tmp_path / "nothing"))
+    assert history.latest_stored_month(empty) is None
+
+
+def test_the_quarter_reads_its_months_only(store):
+    store = history.Store(store.spark, store.root, LINE)
+    got = history.stored_quarter_to_date(store)
+    assert {r.comm_month for r in got.collect()} == {month(15), month(16), month(17)}
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "comm_month" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    assert sorted(map(str, got.collect())) == sorted(
+        map(str, report.quarter_to_date(store.read(), report.latest_month(store.read())).collect()))
+    for p in Path(store.path("lines")).rglob("*.parquet"):
+        if not any(f"comm_month={month(k)}" in str(p) for k in (15, 16, 17)):
+            p.write_bytes(b"no parquet")
+    assert history.stored_quarter_to_date(store).count() == 9
+
+
+def test_finished_quarter(spark, tmp_path):
+    for last, first in ((11, 9), (12, 9), (13, 9), (14, 12), (2, 0)):
+        out = history.Store(spark, str(tmp_path / str(last)))
+        sinks.replace_months(spark.createDataFrame([line(f"{k}", k, "q") for k in range(last + 1)], LINE), out.path("lines"))
+        got = history.stored_finished_quarter(out)
+        assert {r.comm_month for r in got.collect()} == {month(k) for k in range(first, first + 3)}
+        assert sorted(map(str, got.collect())) == sorted(map(str, report.finished_quarter(out.read()).collect()))
+
+
+def test_revenue_history_prunes_while_it_runs(spark, store):
+    history.refresh_totals(store, [None, *(month(k) for k in range(18))])
+    got = history.stored_revenue_history(store)
+    assert sorted(map(str, got.collect())) == sorted(map(str, report.revenue_history(store.read()).collect()))
+    assert "dynamicpruning" in got._jdf.queryExecution().executedPlan().toString()
+
+
+# --- update ------------------------------------------------------------------------------------------
+
+def test_update_rewrites_the_months_it_touches(spark, store, people, tmp_path):
+    stage = sinks.stager(str(tmp_path / "stage"))
+    history.refresh_totals(store, [None, *(month(k) for k in range(18))], people)
+    before, sums = files_of(store), files_of(store, "totals")
+    source = spark.createDataFrame(
+        [("l3-1", 1, D("9.00"), "X"), ("l3-1", 2, D("7.00"), "Y"), ("l7-0", 1, D("1.00"), "Z"), ("none", 1, D("5.00"), "N"),
+         ("twice", 1, D("1.00"), "T"), ("unknown", 1, D("1.00"), "U"), (None, 1, D("1.00"), "V")],
+        "unique_id string, pass int, actual_comm_paid decimal(18,2), principal string")
+    whole = stage(store.read())
+    want, outcome = merge.merge_by_id(whole, source, F.col("pass"))
+    got = history.upsert_months(store, source, F.col("pass"), stage, salespeople=people)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, outcome.collect()))
+    assert sorted(map(str, store.read().select(want.columns).collect())) == sorted(map(str, want.collect()))
+    after = files_of(store)
+    changed = {p for p in before if after.get(p) != before[p]}
+    assert changed == of_month(before, 3) | of_month(before, 7) | {p for p in before if history.NO_MONTH in p}
+    assert {p for p in sums if files_of(store, "totals").get(p) != sums[p]} == of_month(sums, 3) | of_month(sums, 7) | {
+        p for p in sums if history.NO_MONTH in p}
+    assert sorted(map(str, history.rolled_principals(store).collect())) == sorted(
+        map(str, report.principal_totals(store.read(), True).collect()))
+    again = history.upsert_months(store, source, F.col("pass"), stage, salespeople=people)  # repeating changes nothing
+    assert sorted(map(tuple, again.collect())) == sorted(map(tuple, outcome.collect()))
+    assert sorted(map(str, store.read().select(want.columns).collect())) == sorted(map(str, want.collect()))
+
+
+def test_update_with_a_guard_and_without_a_hit(spark, store, tmp_path):
+    stage, before = sinks.stager(str(tmp_path / "stage")), files_of(store)
+    source = spark.createDataFrame([("l3-1", D("2.00"), month(5), "X"), ("gone", D("1.00"), month(5), "X")],
+                                   "unique_id string, actual_comm_paid decimal(18,2), comm_month date, principal string")
+    got = history.upsert_months(store, source, F.col("principal"), stage, guard="actual_comm_paid")
+    assert {(r.unique_id, r.code) for r in got.collect()} == {("l3-1", "COMMISSION_MISMATCH"), ("gone", "NO_MATCH")}
+    assert files_of(store) == before
+    fits = source.withColumn("actual_comm_paid", F.lit(D("1.00")))
+    history.upsert_months(store, fits, F.col("principal"), stage, guard="actual_comm_paid")
+    moved = store.read().filter("unique_id = 'l3-1'").collect()
+    assert [(r.comm_month, r.principal) for r in moved] == [(month(3), "X")]  # a line stays in its month
+
+
+# --- totals ------------------------------------------------------------------------------------------
+
+def same_totals(store, people):
+    lines = store.read()
+    assert sorted(map(str, history.rolled_principals(store).collect())) == sorted(map(str, report.principal_totals(lines, True).collect()))
+    assert sorted(map(str, history.rolled_files(store).select("from_file", "sheet_name", "level", "n_lines", "total_commissions").collect())) == sorted(
+        map(str, report.file_totals(lines).select("from_file", "sheet_name", "level", "n_lines", "total_commissions").collect()))
+    from repledger.operators import calc
+    assert sorted(map(str, history.rolled_people(store).collect())) == sorted(
+        map(str, report.totals_by_person(calc.by_person(lines, people)).collect()))
+
+
+def test_totals_follow_additions_replacements_and_removals(spark, tmp_path, people):
+    out = history.Store(spark, str(tmp_path / "kept"))
+
+    def put(*rows):
+        history.put_months(out, spark.createDataFrame(list(rows), LINE), people)
+        same_totals(out, people)
+
+    put(*(line(f"a{k}", k, f"2000Q{k}", "PQR"[k % 3], f"{k + 1}.25") for k in range(6)), line("n", None, None, None, "3"))
+    put(line("b", 7, "2000Q3", "P", "100"), line("c", 7, None, "S", "0", people=(None, None)))
+    put(line("d", 2, "2000Q1", "T", "-4.10"))  # month 2 is written again: what it held is taken back
+    untouched = files_of(out, "totals")
+    history.drop_months(out, [month(7), None])
+    same_totals(out, people)
+    assert all(files_of(out, "totals").get(p) == t for p, t in untouched.items() if f"comm_month={month(7)}" not in p and history.NO_MONTH not in p)
+    assert history.latest_stored_month(out) == month(5)
+    put(line("e", 7, "2000Q3", "P", "8"), line("f", None, "2000Q3", "P", "9"))
+    assert report.principal_totals(out.read()).filter("level = 1").first().actual_comm_paid == sum(
+        (D(f"{k + 1}.25") for k in (0, 1, 3, 4, 5)), D("-4.10") + 17)
+
+
+def test_queries_prune(spark):
+    t = Tables(spark, SF)
+    plan = stored.stored_quarter_to_date(t)._jdf.queryExecution().executedPlan().toString()
+    assert "comm_month" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    assert "dynamicpruning" in stored.stored_revenue_history(t)._jdf.queryExecution().executedPlan().toString()
