@@ -9,7 +9,7 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from repledger.catalog import tables
@@ -345,14 +345,15 @@ found as (
  union all select 'conform', 'NO_COMMISSION_COLUMN', false, from_file from sheets where code='INF' and flag='A'
  union all select 'conform', 'NO_INVOICE_DATE_COLUMN', false, from_file from sheets where code='INF' and flag='N'
  union all select 'conform', 'UNRECOGNISED_SHEET', false, from_file from sheets where code='ABR' and flag='R'
- union all select 'conform', 'UNPARSED_MONEY', true, from_file from sheet_rows
+ union all select 'conform', 'UNPARSED_MONEY', false, from_file from sheet_rows
   where (code='TRI' and quantity=13) or (code='GAN' and quantity=2))
 select operator, code, fatal, from_file, count(*) as n_issues from found group by all""")
 def all_issues(t: Tables):
     return issues.summarise(conformed(t)[1])
 
 
-FAULTY = "(code='LAT' and flag='R') or (code='TRI' and quantity=13) or (code='GAN' and quantity=2)"
+FAULTY = "(code='LAT' and flag='R')"
+REFUSED = f"select distinct from_file from sheet_rows where code='COS' or {FAULTY}"
 
 
 @query("process_files_ledger", SHEETS, "with " + CHAIN + f""",
@@ -365,17 +366,37 @@ select read.from_file as filename, coalesce(t,cast(0 as decimal(18,2))) as total
  case when read.from_file in (select from_file from refused) then date '2002-01-31' else date '2001-12-31' end as date_added
 from read left join totals on totals.from_file=read.from_file""")
 def process_files_ledger(t: Tables):
-    """The ledger after two runs: files with a fault are refused whole, and read when they come again without it."""
+    """The ledger after two runs: files that cannot be mapped are refused whole, and read when they come again without
+    the sheet that could not; the second delivery has these files only."""
     dims = flows.Dimensions(principals=t.sheet_principals, distributor_map=t.distributor_map, invoice_log=t.invoice_log)
     store = sinks.stager(shared_folder(t.spark))
     ledger = t.spark.createDataFrame([], "filename string, total_commissions string, date_added date, paid_date date")
-    mended = store(exported_sheets(t, t.sheet_rows.filter(f"not ({FAULTY})")))
+    faulty = t.sheet_rows.filter(FAULTY).select("from_file").distinct()
+    mended = store(exported_sheets(t, t.sheet_rows.filter(f"not {FAULTY}").join(faulty, "from_file", "left_semi")))
     for raw, day in ((raw_sheets(t), dt.date(2001, 12, 31)), (mended, dt.date(2002, 1, 31))):
         lines, read, _ = flows.accepted_lines(raw, ledger, ALIASES, dims, day, fill_chunk=tables.row_chunk(), stage=store)
         ledger = store(files.append_entries(ledger, files.file_entries(lines, day, read)))
     return ledger.drop("paid_date")
 
 
+@query("drop_reasons", SHEETS, "with " + CHAIN + f""",
+refused as ({REFUSED}),
+judged as (select case when principal='INF' and flag='A' then 'no_commission_column' when principal='INF' and flag='N' then 'no_invoice_date_column'
+  when part_number is null then 'no_part_number' when coalesce(actual_comm_paid,0)=0 then 'zero_commission' else 'kept' end as reason
+ from ruled where from_file not in (select from_file from refused)),
+found as (select reason from judged union all select 'refused' from sheet_rows where from_file in (select from_file from refused)
+ union all select 'totals_line' from sheet_rows where code='MIL' and flag='A' and quantity=50)
+select reason, count(found.reason) as n_rows from (select unnest(['kept','refused','totals_line','no_part_number_column','no_commission_column',
+ 'no_invoice_date_column','no_part_number','zero_commission']) as reason) left join found using (reason) group by reason""")
+def drop_reasons(t: Tables):
+    """Rows of all sheets by what became of them, counted while the lines are written."""
+    store, drops = sinks.stager(shared_folder(t.spark)), Observation()
+    out = conform.conform_sheets(raw_sheets(t), ALIASES, t.sheet_principals, t.distributor_map, t.invoice_log,
+                                 fill_chunk=tables.row_chunk(), stage=store, drops=drops)
+    store(out.lines)
+    return out.drop_reasons()
+
+
 @query("run_counters", (*SHEETS, "lookup_master"), "with " + CHAIN + f""",
 refused as (select distinct from_file from sheet_rows where code='COS' or {FAULTY}),
 look as (select lower(coalesce(reported_customer,'')) as c, lower(part_number) as p, count(*) as n,
@@ -417,3 +438,40 @@ def incremental_ingest(t: Tables):
         stream = ingest.file_stream(t.spark, f"{folder}/landing", "parquet", lineitem.schema, maxFilesPerTrigger=1)
         ingest.run_available(stream, f"{folder}/work", totals)
     return report.merged_file_totals(ingest.read_output(t.spark, f"{folder}/work", "file_totals"))
+
+
+EVEN_YEAR = "cast(substring(from_file,5,4) as int)%2=0"
+
+
+@query("streamed_conform", SHEETS, "with " + CHAIN + f""",
+totals as (select from_file, count(*) as n, cast(sum(actual_comm_paid) as decimal(18,2)) as t from {ELIGIBLE} group by from_file),
+refused as ({REFUSED}),
+mended as (select from_file from refused where from_file like 'LAT%' and {EVEN_YEAR}),
+read as (select distinct from_file from sheet_rows where from_file not in (select from_file from refused)
+ union all select from_file from mended)
+select from_file as filename, case when read.from_file is not null then coalesce(t,cast(0 as decimal(18,2))) end as total_commissions,
+ case when read.from_file is not null then coalesce(n,0) else 0 end as n_lines, (refused.from_file is not null)::int as times_refused
+from read full outer join refused using (from_file) left join totals using (from_file)""")
+def streamed_conform(t: Tables):
+    """Files entered and refused over two deliveries as a stream: half of the workbooks; the rest with some again and with
+    corrected copies of those that were refused for a sheet."""
+    folder = remove_at_exit(t.spark, f"{shared_folder(t.spark).rstrip('/')}/stream-{uuid.uuid4().hex}")
+    rows = exported_sheets(t)
+    even = F.expr(EVEN_YEAR)
+    repeated = even & (F.substring("from_file", 1, 3) == "ABR")
+    mended = t.sheet_rows.filter(f"code='LAT' and not {FAULTY} and {EVEN_YEAR}")
+    dims = flows.Dimensions(principals=t.sheet_principals, distributor_map=t.distributor_map, invoice_log=t.invoice_log)
+    store = sinks.stager(shared_folder(t.spark))
+    for delivery in (rows.filter(even), rows.filter(~even | repeated).unionByName(exported_sheets(t, mended))):
+        delivery.repartition("from_file").write.mode("append").partitionBy("from_file").parquet(f"{folder}/landing")
+        stream = ingest.file_stream(t.spark, f"{folder}/landing", "parquet", rows.schema).select(*rows.columns)
+        ingest.run_conform(stream, f"{folder}/work", ALIASES, dims, dt.date(2001, 12, 31), store, fill_chunk=tables.row_chunk())
+    ledger, lines, refused = (ingest.read_committed(t.spark, f"{folder}/work", n) for n in ("ledger", "lines", "refused"))
+    name = F.col("from_file").alias("filename")
+    counts = lines.groupBy(name).agg(F.count(F.lit(1)).alias("n_lines"))
+    times = refused.groupBy(name).agg(F.count(F.lit(1)).cast("int").alias("times_refused"))
+    named = ledger.select("filename", "total_commissions").unionByName(
+        refused.select(name).distinct().join(ledger, "filename", "left_anti"), allowMissingColumns=True)
+    return named.join(counts, "filename", "left").join(times, "filename", "left").select(
+        "filename", "total_commissions", F.coalesce("n_lines", F.lit(0).cast("long")).alias("n_lines"),
+        F.coalesce("times_refused", F.lit(0)).alias("times_refused"))

@@ -8,7 +8,7 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from repledger.functions import dates
@@ -37,19 +37,28 @@ def line_order(df: DataFrame):
     return F.struct(*[c for c in (*ORDER, "unique_id") if c in df.columns])
 
 
-def accepted_lines(raw: DataFrame, ledger: DataFrame, aliases: dict[str, list[str]], dims: Dimensions, as_of: dt.date,
-                   strict: bool = False, stage=None, **options) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Lines of the new files that are free of fatal issues, those files, and the issues of all new files."""
+def accepted_sheets(raw: DataFrame, ledger: DataFrame, aliases: dict[str, list[str]], dims: Dimensions, as_of: dt.date,
+                    strict: bool = False, stage=None, **options) -> tuple[conform.Conformed, DataFrame]:
+    """What conforming makes of the new files, lines of accepted files only, and the accepted files."""
     fresh = files.new_files(raw, ledger)
-    lines, found = conform.conform(fresh, aliases, dims.principals, dims.distributor_map, dims.invoice_log, stage=stage,
-                                   as_of=as_of, **options)
+    out = conform.conform_sheets(fresh, aliases, dims.principals, dims.distributor_map, dims.invoice_log, stage=stage,
+                                 as_of=as_of, **options)
     if stage is not None:
-        found = stage(found)
+        out.issues = stage(out.issues)
     if strict:
-        issues.enforce(found)
-    refused = found.filter("fatal and from_file is not null").select("from_file").distinct()
-    read = fresh.select("from_file").distinct().join(refused, "from_file", "left_anti")
-    return lines.join(refused, "from_file", "left_anti"), read, found
+        issues.enforce(out.issues)
+    out.refused = out.issues.filter("fatal and from_file is not null").select("from_file").distinct()
+    if out.drops is None:
+        out.lines = out.lines.join(out.refused, "from_file", "left_anti")
+    # The profile has a row for each sheet, so the rows need not be read for the names of their files.
+    return out, out.profile.select("from_file").distinct().join(out.refused, "from_file", "left_anti")
+
+
+def accepted_lines(raw: DataFrame, ledger: DataFrame, aliases: dict[str, list[str]], dims: Dimensions, as_of: dt.date,
+                   strict: bool = False, stage=None, **options) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Lines of the new files that are free of fatal issues, those files, and the issues of all new files."""
+    out, read = accepted_sheets(raw, ledger, aliases, dims, as_of, strict, stage, **options)
+    return out.lines, read, out.issues
 
 
 def canonical(lines: DataFrame) -> DataFrame:
@@ -65,12 +74,16 @@ def process_files(raw: DataFrame, ledger: DataFrame, aliases: dict[str, list[str
                   stage=None) -> dict[str, DataFrame]:
     """New sheets to running lines, entries needing fixing, lookup usage, ledger and issues.
 
-    A file with a fatal issue is refused as a whole: none of its lines runs on, and it gets no ledger entry, so its
-    corrected copy is read in a later run. Every other file that was read gets one, with a total of 0 if no line of it
-    counts. `strict` stops the run instead. `stage` may store the mapped sheets, the issues and the finished lines,
-    which several outputs read. `running` must have the columns of finished lines, no more and no less.
+    A file whose sheets cannot be mapped is refused as a whole: none of its lines runs on, and it gets no ledger entry, so
+    its corrected copy is read in a later run. Every other file that was read gets one, with a total of 0 if no line of it
+    counts; a cell of it that is no number is NULL and an issue. `strict` stops the run instead. `stage` may store the
+    mapped sheets, the issues and the finished lines, which several outputs read; then `drop_reasons` tells how many rows
+    were left out, and why, as counted while the lines were stored. `running` must have the columns of finished lines, no more and no less.
     """
-    lines, read, found = accepted_lines(raw, ledger, aliases, dims, as_of, strict, stage)
+    # Rows can be counted as lines are stored; without a store each output would count them anew.
+    drops = None if stage is None else Observation()
+    sheets, read = accepted_sheets(raw, ledger, aliases, dims, as_of, strict, stage, drops=drops)
+    lines, found = sheets.lines, sheets.issues
     tagged = calc.tag_ids(canonical(lines))
     order = F.col("lookup_id") if lookup_order is None else lookup_order
     matched = match.match_distributor(match.match_lookup(tagged, dims.lookup_master, order), dims.distributor_map)
@@ -85,7 +98,8 @@ def process_files(raw: DataFrame, ledger: DataFrame, aliases: dict[str, list[str
         combined = running.unionByName(done)
     else:
         combined = done
-    return {
+    counted = {} if stage is None else {"drop_reasons": sheets.drop_reasons()}
+    return counted | {
         "running": combined,
         "entries_need_fixing": calc.needs_fixing(marked, as_of),
         "lookup_master": match.lookup_usage(matched, dims.lookup_master, as_of, line_order(matched)),
