@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -69,13 +71,13 @@ def load_dimension(df: DataFrame, table: str) -> DataFrame:
     return df.select(*[text.blank_to_null(F.col(n)).alias(n) if t == "string" else F.col(n) for n, t in df.dtypes])
 
 
-def load_lookup_master(df: DataFrame) -> DataFrame:
+def load_lookup_master(df: DataFrame, as_of: dt.date | None = None) -> DataFrame:
     """Lookup entries with a whole-number split and dates (S-10)."""
     df = load_dimension(df, "lookup_master")
     typed = {"cm_split": F.col("cm_split").try_cast(numbers.UNIT).try_cast("int")}
     for name in ("last_used", "date_added"):
         if dict(df.dtypes)[name] == "string":
-            typed[name] = dates.parse_date(F.col(name))
+            typed[name] = dates.parse_date(F.col(name), as_of)
     return df.withColumns(typed)
 
 
@@ -98,7 +100,7 @@ def load_aliases(df: DataFrame) -> dict[str, list[str]]:
     return aliases
 
 
-def read_exported_lines(df: DataFrame, default_split: bool = True) -> DataFrame:
+def read_exported_lines(df: DataFrame, default_split: bool = True, as_of: dt.date | None = None) -> DataFrame:
     """Lines as text (running, needing fixes, or history) to typed lines (S-6, S-7, S-8).
 
     Money and numbers are parsed, percentages scaled by the column's own maximum, dates parsed with
@@ -119,7 +121,7 @@ def read_exported_lines(df: DataFrame, default_split: bool = True) -> DataFrame:
             percents.append(name)
         elif kind == "date" or name in ("paid_date", "sales_report_date", "date_added", "comm_month"):
             source = F.concat(cell, F.lit("-01")) if name == "comm_month" else cell
-            out[name] = dates.parse_date(source)
+            out[name] = dates.parse_date(source, as_of)
             out[f"{name}_raw"] = cell
         elif name in ("sales_commission", "cm_sales_comm", "design_sales_comm"):
             out[name] = numbers.parse_money(cell, numbers.SHARE)
@@ -147,3 +149,16 @@ def split_or_default(c):
 def numeric_sibling(df: DataFrame, columns: list[str]) -> DataFrame:
     """A typed `<col>_num` beside columns that mix text and numbers; identifiers keep their zeros (P-13)."""
     return df.withColumns({f"{c}_num": F.col(c).try_cast(numbers.UNIT) for c in columns if c not in UNTYPED_IDS})
+
+
+def numeric_columns(df: DataFrame, columns: list[str]) -> DataFrame:
+    """`numeric_sibling` decided by whole columns: one cell that is no number leaves all of its `_num` blank (P-13).
+
+    All columns are judged in one pass; `evidence.column_types` does so for sheets of any headings.
+    """
+    columns = [c for c in columns if c not in UNTYPED_IDS]
+    if not columns:
+        return df
+    cells = {c: text.blank_to_null(F.col(c).cast("string")) for c in columns}
+    bad = df.agg(*[F.count_if(numbers.unparsed(x, x.try_cast(numbers.UNIT))).alias(c) for c, x in cells.items()])
+    return df.withColumns({f"{c}_num": F.when(bad.select(c).scalar() == 0, x.try_cast(numbers.UNIT)) for c, x in cells.items()})

@@ -1,0 +1,135 @@
+"""What sheets say about dates and types, and issues from run to run."""
+
+import datetime as dt
+
+import pytest
+from pyspark.sql import functions as F
+from test_flows import ALIASES, base, dims, raw, sheet  # noqa: F401
+
+from repledger.functions import dates
+from repledger.operators import conform, evidence, issues
+from repledger.sources import readers
+
+DAY = dt.date(2024, 5, 20)
+
+
+def day(y, m, d):
+    return dt.date(y, m, d)
+
+
+def read(spark, *texts, as_of=DAY):
+    rows = spark.createDataFrame([("f", "s", n, x) for n, x in enumerate(texts)], "from_file string, sheet_name string, n int, d string")
+    got, facts = evidence.sheet_dates(rows, "d", as_of)
+    return [(r.d, r.d_doubtful) for r in got.orderBy("n").collect()], facts.first()
+
+
+def test_grammar_of_a_date(spark):
+    same = ["2024-03-05", "2024/3/5", "20240305", "5 Mar 2024", "5-MAR-2024", "5mar2024", "Mar 5, 2024", "March 5th, 2024",
+            "Tuesday, 5th of March 2024", "2024 Mar 5", "2024-03-05 00:00:00", "2024-03-05T11:59:00.000", "Mar 5 2024 3:15 pm", " 5. march 24 ",
+            "Tue Mar 05 2024"]
+    got, facts = read(spark, *same)
+    assert got == [(day(2024, 3, 5), False)] * len(same)
+    assert (facts.date_order, facts.n_doubtful, facts.n_unreadable, facts.newest) == (evidence.NO_ORDER, 0, 0, 2024)
+    wrong = ["soon", "2024", "13/13/2024", "2024-02-30", "Mar 2024", "1/2/3/2024", "mayor 5 2024", "5 ma 2024", "1/2/024", "12345678", "no date",
+             "5 Mar 2024 x", "0/0/2024"]
+    got, facts = read(spark, *wrong)
+    assert [g for g, _ in got] == [None] * len(wrong)
+    assert read(spark, "", None, "nan")[1].n_unreadable == 0
+
+
+def test_order_of_a_sheet(spark):
+    got, facts = read(spark, "3/4/2024", "13/4/2024", "5.6.24")
+    assert [g for g, _ in got] == [day(2024, 4, 3), day(2024, 4, 13), day(2024, 6, 5)] and facts.date_order == evidence.DAY_FIRST
+    got, facts = read(spark, "3/4/2024", "4/13/2024", "5-6-24")
+    assert [g for g, _ in got] == [day(2024, 3, 4), day(2024, 4, 13), day(2024, 5, 6)] and facts.date_order == evidence.MONTH_FIRST
+    got, facts = read(spark, "3/4/2024", "4/13/2024", "13/4/2024", "5/5/2024")
+    assert got == [(day(2024, 3, 4), True), (day(2024, 4, 13), False), (day(2024, 4, 13), False), (day(2024, 5, 5), False)]
+    assert (facts.date_order, facts.n_doubtful) == (evidence.MIXED, 1)
+    got, facts = read(spark, "3/4/2024", "5/5/2024", "2024-01-02", "x")
+    assert got == [(day(2024, 3, 4), True), (day(2024, 5, 5), False), (day(2024, 1, 2), False), (None, False)]
+    assert (facts.date_order, facts.n_doubtful, facts.n_unreadable) == (evidence.UNDECIDED, 1, 1)
+    found = evidence.date_issues(spark.createDataFrame([facts]))
+    assert {(r.code, r.detail, r.fatal) for r in found.collect()} == {("UNDECIDED_DATES", "1", False), ("UNREADABLE_DATES", "1", False)}
+
+
+def test_years_without_a_clock(spark):
+    years = lambda *texts, as_of=None: [g.year for g, _ in read(spark, *texts, as_of=as_of)[0]]
+    assert years("1/20/74", "1/20/75", "1/20/99") == [2074, 1975, 1999]
+    assert years("1/20/74", "1/20/75", "1/20/2030") == [2074, 2075, 2030]  # the sheet's own newest year
+    assert years("1/20/74", "1/20/73", as_of=DAY) == [1974, 2073]
+    plans = [readers.read_exported_lines(spark.createDataFrame([("1/2/24",)], "invoice_date string")),
+             spark.createDataFrame([("1/2/24",)], "d string").select(dates.parse_date(F.col("d")))]
+    assert not any("current_date" in p._jdf.queryExecution().logical().toString() for p in plans)
+
+
+def test_sheets_keep_to_themselves(spark):
+    rows = spark.createDataFrame([("f", "a", "1/2/2024"), ("f", "a", "14/2/2024"), ("f", "b", "1/2/2024"), ("f", "b", "1/14/2024"),
+                                  (None, "a", "1/2/2024"), (None, "a", "14/2/2024")], "from_file string, sheet_name string, d string")
+    got, _ = evidence.sheet_dates(rows, "d", DAY)
+    assert {(r.from_file, r.sheet_name, r.d) for r in got.filter(F.startswith("d_raw", F.lit("1/2"))).collect()} == {
+        ("f", "a", day(2024, 2, 1)), ("f", "b", day(2024, 1, 2)), (None, "a", day(2024, 2, 1))}
+    none, facts = evidence.sheet_dates(rows.limit(0), "d", DAY)
+    assert none.count() == 0 and facts.count() == 0
+
+
+def test_conform_reads_dates_by_the_sheet(spark, dims):  # noqa: F811
+    got, found = conform.conform(
+        raw(spark, sheet("LAT 1", "s", base(Date="1/5/2024"), base(Date="25/5/2024")), sheet("LAT 2", "s", base(Date="1/5/2024"), base(Date="5/25/24")),
+            sheet("LAT 3", "s", base(Date="1/5/2024"), base(Date="2/2/2024"))),
+        ALIASES, dims.principals, dims.distributor_map, dims.invoice_log)
+    assert {(r.from_file, r.row_idx): r.invoice_date for r in got.collect()} == {
+        ("LAT 1", 0): day(2024, 5, 1), ("LAT 1", 1): day(2024, 5, 25), ("LAT 2", 0): day(2024, 1, 5), ("LAT 2", 1): day(2024, 5, 25),
+        ("LAT 3", 0): day(2024, 1, 5), ("LAT 3", 1): day(2024, 2, 2)}
+    assert [(r.code, r.from_file, r.detail, r.fatal) for r in found.collect()] == [("UNDECIDED_DATES", "LAT 3", "invoice_date 1", False)]
+
+
+@pytest.mark.parametrize("cells, kind", [
+    (["1", "-2", "0", None, " "], "whole"), (["1", "2.5"], "decimal"), (["$1,234.50", "12%", "3"], "decimal"), (["007", "1"], "text"),
+    (["1", "x"], "text"), (["1/2/2024", "2024-03-05"], "date"), (["1/2/2024", "5"], "text"), (["20240305", "1/2/2024"], "date"),
+    (["20240305", "7"], "whole"), (["20240305"], "whole"), (["20241305", "1/2/2024"], "text"), (["nan", "", None], "blank"),
+    ([".5", "-$3"], "decimal"), (["%"], "text"), (["$"], "text"), (["1,23"], "text"), (["13/13/2024"], "text"), (["12345678901234567890"], "text")])
+def test_type_of_a_column(spark, cells, kind):
+    rows = [("f", "s", 0, n, {" h ": c, "other": "1"}) for n, c in enumerate(cells)]
+    got = {r.heading: r for r in evidence.column_types(spark.createDataFrame(rows, readers.schema.RAW_SHEETS)).collect()}
+    assert (got["h"].kind, got["h"].n_cells) == (kind, len(cells)) and got["other"].kind == "whole"
+    assert got["h"].n_blank == sum(c is None or c.strip() in ("", "nan") for c in cells)
+
+
+def test_a_number_column_is_all_or_nothing(spark):
+    df = spark.createDataFrame([("1", "1", "01"), ("2.5", "x", "2"), (None, None, None)], "a string, b string, part_number string")
+    got = readers.numeric_columns(df, ["a", "b", "part_number"])
+    assert got.columns == ["a", "b", "part_number", "a_num", "b_num"]
+    assert [(r.a_num, r.b_num) for r in got.orderBy("a").collect()] == [(None, None), (1, None), (2.5, None)]
+
+
+# --- issues from run to run --------------------------------------------------------------------------
+
+ISSUE = "operator string, code string, fatal boolean, from_file string, sheet_name string, row_ref string, detail string"
+ONE, TWO, THREE = (("r1", day(2024, 1, 31)), ("r2", day(2024, 2, 29)), ("r3", day(2024, 3, 31)))
+
+
+def state_of(df):
+    return {(r.operator, r.code, r.from_file): (r.first_run, r.last_run, r.n_runs, r.resolved_run, r.resolved) for r in df.collect()}
+
+
+def test_issues_are_seen_resolved_and_seen_again(spark):
+    def found(*rows):
+        return spark.createDataFrame([(o, c, False, f, None, None, None) for o, c, f in rows], ISSUE)
+
+    a, b, other, none = ("conform", "A", "f1"), ("conform", "B", "f2"), ("merge", "C", None), ("conform", "D", None)
+    first = issues.fold_run(issues.no_state(spark), found(a, a, b, other, none), *ONE, ["conform", "merge"])
+    assert state_of(first) == {k: ("r1", "r1", 1, None, None) for k in (a, b, other, none)}
+    again = issues.fold_run(first, found(a, b, other, none), *ONE, ["conform", "merge"])
+    assert state_of(again) == state_of(first)
+    files = spark.createDataFrame([("f1",), ("f3",), ("f1",)], "from_file string")
+    new = ("conform", "A", "f3")
+    second = issues.fold_run(first, found(new, ("merge", "not looked for", None)), *TWO, ["conform"], files)
+    gone = ("r1", "r1", 1, "r2", TWO[1])
+    assert state_of(second) == {a: gone, b: ("r1", "r1", 1, None, None), other: ("r1", "r1", 1, None, None), none: gone,
+                                new: ("r2", "r2", 1, None, None)}
+    third = issues.fold_run(second, found(a, b), *THREE, ["conform", "merge"])
+    assert state_of(third) == {a: ("r1", "r3", 2, None, None), b: ("r1", "r3", 2, None, None), other: ("r1", "r1", 1, "r3", THREE[1]),
+                               none: gone, new: ("r2", "r2", 1, "r3", THREE[1])}
+    assert set(state_of(issues.open_issues(third))) == {a, b}
+    assert issues.fold_run(issues.no_state(spark), found(), *ONE, []).count() == 0
+    assert [f.simpleString() for f in third.schema.fields] == [f.simpleString() for f in issues.no_state(spark).schema.fields]

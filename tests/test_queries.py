@@ -11,7 +11,7 @@ from repledger.catalog import load
 registry = load()
 
 SF = "/root/testdata/sf0.001"
-EAGER = ("incremental_ingest", "process_files_ledger", "run_counters", "drop_reasons", "streamed_conform")
+EAGER = ("incremental_ingest", "process_files_ledger", "run_counters", "drop_reasons", "streamed_conform", "open_issues")
 
 
 @pytest.fixture(scope="module")
