@@ -81,10 +81,11 @@ def host_rates(hosts: DataFrame) -> DataFrame:
     The prior's mean is the share of failures over all documents. Its weight comes from the hosts' spread about that
     mean beyond what chance gives (the moment estimate of the correlation within hosts), and is held within bounds.
     """
-    n, x, total = F.col("n_docs"), F.col("n_failed"), F.sum
-    sums = hosts.agg(total(n).cast("double").alias("n"), total(x).cast("double").alias("x"), F.count("*").alias("h"),
-                     total(n * n).cast("double").alias("nn"),
-                     total((x * x).cast("double") / n).alias("xx")).first()
+    # Squares of counts do not fit a long: they are computed as doubles.
+    n, x, total = F.col("n_docs").cast("double"), F.col("n_failed").cast("double"), F.sum
+    sums = hosts.agg(total(n).alias("n"), total(x).alias("x"), F.count("*").alias("h"),
+                     total(n * n).alias("nn"),
+                     total(x * x / n).alias("xx")).first()
     if not sums["n"]:
         return hosts.withColumn("host_rate", F.lit(0.0))
     mean = sums["x"] / sums["n"]
