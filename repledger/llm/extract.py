@@ -26,6 +26,12 @@ OUTSIDE_NAMES = frozenset(
     "cookies discussion disqus footer header masthead menu menubar modal nav navbar navigation newsletter notice "
     "notices popup promo promoted related replies reply respond share sharing sidebar signup social sponsor sponsored "
     "subscribe subscription toolbar topbar widget".split())
+#: A class of several words is no name if it begins or ends with one of these (`has-sidebar`, `comments-open`), or if
+#: the name stands before two more words (`share-your-story`).
+NOT_NAMES = (frozenset("has have is no not with without".split()),
+             frozenset("closed collapsed disabled enabled hidden off on open visible".split()))
+#: Names that also put a class outside by standing first in it.
+ADVERTS = frozenset("ad ads advert adverts advertisement advertising consent cookie cookies promo sponsor sponsored".split())
 OUTSIDE_ROLES = frozenset("alert banner complementary contentinfo dialog form menu menubar navigation search toolbar".split())
 #: Containers whose lines stand or fall together.
 REGIONS = frozenset("article main section div td body".split())
@@ -56,6 +62,15 @@ class Lines(HTMLParser):
                 self.tags = 0
             self.text = []
 
+    @staticmethod
+    def names_outside(words: list[str], whole: bool) -> bool:
+        """Whether a class or id, as words, names what isn't the article; `whole`: only if it is that name."""
+        if len(words) < 2 or whole:
+            return len(words) == 1 and words[0] in OUTSIDE_NAMES
+        if words[0] in NOT_NAMES[0] or words[-1] in NOT_NAMES[1]:
+            return False
+        return words[0] in ADVERTS or any(w in OUTSIDE_NAMES for w in words[-2:])
+
     def is_outside(self, tag: str, attrs: list) -> bool:
         if tag in OUTSIDE:
             return True
@@ -67,7 +82,8 @@ class Lines(HTMLParser):
             if name == "hidden" or name == "aria-hidden" and value == "true":
                 return True
             if value and name in ("class", "id"):
-                if not OUTSIDE_NAMES.isdisjoint(_NAME.findall(_CAMEL.sub(r"\1 \2", value).lower())):
+                whole = tag in ("article", "main")  # what is the content is put outside by a plain name only
+                if any(self.names_outside(_NAME.findall(_CAMEL.sub(r"\1 \2", x).lower()), whole) for x in value.split()):
                     return True
             elif value and name == "role" and value.lower() in OUTSIDE_ROLES:
                 return True
