@@ -84,9 +84,9 @@ BSD = [
     (name, _BSD.format(one, two, three, whose)) for whose in ("HOLDER", "HOLDERS", "OWNER") for name, one, two, three in (
         ("BSD-2-Clause", "1. ", "2. ", ""), ("BSD-2-Clause", "", "", ""),
         ("BSD-3-Clause", "1. ", "2. ", "3. " + _ENDORSE), ("BSD-3-Clause", "", "", _ENDORSE))]
-#: Title lines that licence files begin with. A file of the line `MIT License` and the text is not taken as MIT.
+#: Title lines that licence files begin with.
 TITLES = {
-    "MIT": ("The MIT License", "The MIT License (MIT)"),
+    "MIT": ("MIT License", "The MIT License", "The MIT License (MIT)"),
     "ISC": ("ISC License", "The ISC License"),
     "0BSD": ("BSD Zero Clause License", "Zero-Clause BSD", "BSD 0-Clause License"),
     "Zlib": ("zlib License", "The zlib License"),
