@@ -12,6 +12,8 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.types import NumericType
 
 from repledger.llm.common import in_arrow, mix, width
 
@@ -97,10 +99,23 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     return in_arrow(docs.select("doc_id", "text"), rows, f"doc_id {kind}, n_chars long, fingerprint string")
 
 
-def _range_of(bounds: list[float]):
+def _bounds(docs: DataFrame, ranges: int) -> list:
+    """Ascending bounds of about equal ranges of doc_id: quantiles of numbers, or those of a sample of other ids.
+
+    They decide how even the ranges are, and no result. The sample is about 20 ids for each range.
+    """
+    if isinstance(docs.schema["doc_id"].dataType, NumericType):
+        shares = [k / ranges for k in range(1, ranges)]
+        return sorted(set(docs.select(F.col("doc_id").cast("double").alias("id")).approxQuantile("id", shares, 0.2 / ranges)))
+    ids = docs.select("doc_id").where("doc_id is not null")
+    held = sorted(r[0] for r in ids.sample(min(1.0, 20 * ranges / max(1, ids.count())), seed=1).limit(100 * ranges).collect())
+    return sorted({held[k * len(held) // ranges] for k in range(1, ranges)}) if held else []
+
+
+def _range_of(bounds: list):
     """Ranges of doc_id by ascending bounds, -1 for null: a binary search of as many steps as the bounds have bits."""
     steps = [1 << k for k in reversed(range(len(bounds).bit_length()))]
-    values, n = F.array(*[F.lit(float(b)) for b in bounds]), F.lit(len(bounds))
+    values, n = F.array(*[F.lit(b) for b in bounds]), F.lit(len(bounds))
 
     def step(low, s):
         return F.when((low + s <= n) & (F.get(values, low + s - 1) < F.col("doc_id")), low + s).otherwise(low)
@@ -120,7 +135,7 @@ def with_next(docs: DataFrame, fn: Callable[[tuple, tuple], tuple], schema: str,
     spark = docs.sparkSession
     docs = docs.select("doc_id", "text")
     ranges = 4 * width(spark)
-    bounds = sorted(set(docs.approxQuantile("doc_id", [k / ranges for k in range(1, ranges)], 0.2 / ranges)))
+    bounds = _bounds(docs, ranges)
     dealt = docs.withColumn("part", _range_of(bounds))
     heads = sorted(((r["part"], r["head"]) for r in dealt.groupBy("part").agg(F.max("doc_id").alias("head")).collect()),
                    reverse=True)
@@ -183,5 +198,4 @@ def edit_likeness(docs: DataFrame) -> DataFrame:
     kind = docs.schema["doc_id"].dataType.simpleString()
     schema = (f"doc_id {kind}, n_chars long, edited_text string, fingerprint string, edited_fingerprint string, "
               "near_edited double, near_next double")
-    ids = pa.int64() if kind == "bigint" else pa.int32() if kind == "int" else pa.string()
-    return with_next(docs, row, schema, [ids, pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64()])
+    return with_next(docs, row, schema, [to_arrow_type(docs.schema["doc_id"].dataType), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64()])

@@ -1,6 +1,7 @@
 """Operators 1, 3, 4, 6, 8 and 9 against brute force, fixtures and held-out accuracy."""
 
 import itertools
+import random
 import re
 from collections import Counter, defaultdict
 from pathlib import Path
@@ -55,6 +56,12 @@ def test_host_rates_are_shrunk_by_what_the_hosts_say(spark):
     assert max(rates.values()) < 0.35 and min(rates.values()) > 0.1
 
 
+def test_hosts_of_any_size(spark):
+    hosts = spark.createDataFrame([("a", 2_500_000_000, 10**9), ("b", 3_000_000_000, 10**9), ("c", 9 * 10**18 // 10**6, 5)],
+                                  "source string, n_docs long, n_failed long")
+    assert all(0 <= r.host_rate <= 1 for r in quality.host_rates(hosts).collect())
+
+
 def test_bad_host_is_turned_away(spark):
     good = " ".join(f"word{k}" for k in range(30))
     rows = [(k, good, f"good{k % 9}") for k in range(200)] + [(1000 + k, good if k % 10 == 0 else "short", "bad") for k in range(100)]
@@ -102,6 +109,33 @@ def test_extract_of_all_sample_pages(sample):
     assert {r.page_id: r.text for r in extract.extract(pages).collect()} == want
 
 
+@pytest.mark.parametrize("page", [
+    "<div class='layout has-sidebar'><article><p>The whole story.</p></article></div>",
+    "<article class='post comments-open'><p>The whole story.</p></article>",
+    "<div id='share-your-story'><p>The whole story.</p></div>",
+    "<main class='site-main no-ads with-nav'><p>The whole story.</p></main>",
+    "<div class='sidebarVisible'><main id='menu-free'><p>The whole story.</p></main></div>"])
+def test_names_do_not_hide_the_article(page):
+    around = "<html><body><nav>Menu</nav>" + page + "<div class='site-footer'>About</div><div class='ad-slot-top'>Buy</div></body></html>"
+    assert extract.blocks(around) == ["The whole story."]
+
+
+@pytest.mark.parametrize("name", ["sidebar", "site-header-wrapper", "post comment-list", "commentForm", "ad-slot-top", "newsletter-signup", "x related"])
+def test_names_still_hide_what_is_around(name):
+    assert extract.blocks(f"<body><p>Story one.</p><div class='{name}'><p>Not this.</p></div><p>Story two.</p></body>") == ["Story one.", "Story two."]
+
+
+def test_ratio_and_threshold_decide_between_regions():
+    """Plain containers without a telling name: the one with long lines is the content, link lists are not."""
+    story = "".join(f"<p>{'A sentence of the story goes on and on, number %d. ' % k * 6}</p>" for k in range(8))
+    links = lambda n: "".join(f"<li><a href='/{k}'><b>go</b> {k}</a></li>" for k in range(n))
+    page = f"<body><div><ul>{links(25)}</ul></div><div><h1>Title</h1>{story}<p>End.</p></div><div><ul>{links(25)}</ul></div></body>"
+    found = extract.blocks(page)
+    assert found[0] == "Title" and found[-1] == "End." and len(found) == 10 and not any(x.startswith("go") for x in found)
+    two = f"<body><article><p>go</p><p>on</p></article><ul>{links(9)}</ul><article>{story}</article></body>"
+    assert len(extract.blocks(two)) == 8
+
+
 def test_smoothing_keeps_a_level_line():
     assert np.allclose(extract.smooth(np.full(9, 4.0)), 4.0)
     assert extract.smooth(np.array([0, 0, 9.0, 0, 0])).argmax() == 2
@@ -115,7 +149,7 @@ def test_licences(spark, nasty, none):
             (6, mit + " And more.", "x"), (7, "MIT", "x")]
     got = [tuple(r)[:1] + tuple(r)[2:] for r in licences.scan(
         spark.createDataFrame(rows, "doc_id long, text string, text_digest string")).collect()]
-    want = {1: (None, []), 2: ("MIT", []), 3: (None, ["GPL-3.0", "MIT"]), 4: (None, []), 5: (None, []), 6: (None, []), 7: (None, []),
+    want = {1: ("MIT", []), 2: ("MIT", []), 3: (None, ["GPL-3.0", "MIT"]), 4: (None, []), 5: (None, []), 6: (None, []), 7: (None, []),
             None: ("CC-BY-NC-4.0", ["CC-BY-NC-4.0"])}
     assert len(got) == len(rows) and all(want[r[0]] == r[1:] for r in got)
     assert licences.scan(nasty).count() == nasty.count() and licences.scan(none).count() == 0
@@ -240,6 +274,39 @@ def test_edit_likeness(spark, nasty, none):
         fingerprint.written(fingerprint.chunk_set(t)) for t in texts}
 
 
+def plain_cuts(data):
+    """Ends of chunks byte by byte: a gear hash of 64 bits, shifted by one for each byte."""
+    table, out, at, h = [int(x) for x in fingerprint.gear()], [], 0, 0
+    for k, b in enumerate(data):
+        h = ((h << 1) + table[b]) % (1 << 64)
+        size, low = k + 1 - at, h % (1 << 37) >> 31  # bits that all of the last 32 bytes reach
+        if size >= fingerprint.LEAST and low % 64 == 0 or size >= fingerprint.NORMAL and low % 16 == 0 or size == fingerprint.MOST:
+            out.append(k + 1)
+            at = k + 1
+    return out + ([len(data)] if at < len(data) else [])
+
+
+def test_chunks_byte_by_byte():
+    rng = random.Random(6)
+    for n in (0, 1, 8, 9, 40, 3000):
+        for alphabet in ("ab", "abcdefgh ijklmnop", "\x00", "é漢字 x"):
+            data = "".join(rng.choice(alphabet) for _ in range(n)).encode()
+            assert fingerprint.cuts(data) == plain_cuts(data)
+    # The window of 32 bytes decides, so what lies before it does not: hashes of the plain form are the same there.
+    assert (fingerprint.HARD, fingerprint.EASY) == (63 << 31, 15 << 31)
+
+
+@pytest.mark.parametrize("kind", ["string", "short", "int", "decimal(12,0)", "date"])
+def test_ids_of_any_order(spark, kind):
+    base = spark.createDataFrame([(k, f"text number {k} " * (k % 7 + 3)) for k in range(90)] + [(None, "no id")], "n long, text string")
+    made = F.date_add(F.lit("2020-01-01").cast("date"), F.col("n").cast("int")) if kind == "date" else (
+        F.format_string("%03d", "n") if kind == "string" else F.col("n").cast(kind))
+    docs = base.select(F.when(F.col("n").isNotNull(), made).alias("doc_id"), "text")
+    likeness = {r.fingerprint: (r.near_edited, r.near_next) for r in fingerprint.edit_likeness(docs).collect()}
+    plain = {r.fingerprint: (r.near_edited, r.near_next) for r in fingerprint.edit_likeness(base.withColumnRenamed("n", "doc_id")).collect()}
+    assert likeness == plain and fingerprint.edit_likeness(docs).schema["doc_id"].dataType == docs.schema["doc_id"].dataType
+
+
 def test_chunks_shift_with_the_text():
     rng = np.random.default_rng(8)
     text = "".join(rng.choice(list("abcdefghij klmnop"), 30_000))
