@@ -224,6 +224,7 @@ def repeats(docs: DataFrame, window: int = WINDOW, prefix: int = PREFIX, group:
     grams = stage(anchors.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1").select("gram"), "grams")
     found = stage(anchors.join(grams, "gram", "left_semi"), "repeated")
     drop_stage(anchors)
+    drop_stage(grams)
     # Equal suffixes are summed before they are shuffled; one of them stands for all.
     kinds = found.groupBy("gram", "whole").agg(
         F.count("*").alias("copies"), F.min(F.struct("rid", "at")).alias("one"), F.first("before").alias("before"),
@@ -231,7 +232,9 @@ def repeats(docs: DataFrame, window: int = WINDOW, prefix: int = PREFIX, group:
     kinds = stage(kinds, "kinds")
     sizes = kinds.groupBy("gram").agg(F.count("*").alias("n_kinds")).where("n_kinds > 1")
     sizes = sizes.select("gram", (F.col("n_kinds") > group).alias("large"))
-    several = stage(kinds.join(stage(sizes, "sizes"), "gram"), "several")
+    sizes = stage(sizes, "sizes")
+    several = stage(kinds.join(sizes, "gram"), "several")
+    drop_stage(sizes)
     outcome = []
     for large, solve in ((False, _tree_rows), (True, _counted_rows)):
         part = several.where(F.col("large") if large else ~F.col("large"))
@@ -239,7 +242,8 @@ def repeats(docs: DataFrame, window: int = WINDOW, prefix: int = PREFIX, group:
             continue
         wanted = part.groupBy(F.col("one.rid").alias("rid")).agg(F.collect_list(F.struct(
             "gram", "whole", "copies", F.col("one.at").alias("at"), "before", "windows")).alias("wanted"))
-        outcome.append(solve(_suffixes(rows.join(wanted, "rid"), window, prefix, group), window))
+        # What is wanted grows with the corpus, so it is never sent whole to every task.
+        outcome.append(solve(_suffixes(rows.join(wanted.hint("merge"), "rid"), window, prefix, group), window))
     masks = outcome[0] if len(outcome) == 1 else outcome[0].unionByName(outcome[1])
     # A suffix with copies repeats in all its windows, with or without a tree.
     every = F.expr("shiftleft(1L, windows) - 1")
@@ -248,7 +252,7 @@ def repeats(docs: DataFrame, window: int = WINDOW, prefix: int = PREFIX, group:
     known = kinds.where("copies = 1").select("gram", "whole").join(masks, ["gram", "whole"])
     hits = found.join(copied.unionByName(known), ["gram", "whole"])
     removed = hits.groupBy("rid").agg(F.collect_set(F.struct((F.col("at") - F.col("before")).alias("first"), "mask")).alias("marks"))
-    return _kept(rows.join(removed, "rid", "left"), docs, rest, window)
+    return _kept(rows.join(removed.hint("merge"), "rid", "left"), docs, rest, window)
 
 
 def _kept(marked: DataFrame, docs: DataFrame, rest: list, window: int) -> DataFrame:
