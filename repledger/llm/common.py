@@ -29,16 +29,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
+def stage(df: DataFrame, name: str, held: list[DataFrame] | None = None) -> DataFrame:
     """Write `df` to a new folder of the shared folder and read it back, which cuts the lineage.
 
-    The files outlive executors; the folder goes when the driver ends, or when `drop_stage` is called.
+    The files outlive executors; the folder goes when the driver ends, or when `drop_stage` is called. With `held`, the
+    stage is noted there, to be dropped with others.
     """
     spark = df.sparkSession
     folder = f"{shared_folder(spark)}/llm-{name}-{uuid.uuid4().hex}"
     df.write.parquet(folder)
     out = spark.read.schema(df.schema).parquet(remove_at_exit(spark, folder))
     out.stage_folder = folder
+    if held is not None:
+        held.append(out)
     return out
 
 

@@ -275,10 +275,10 @@ def test_edit_likeness(spark, nasty, none):
 
 
 def plain_cuts(data):
-    """Ends of chunks byte by byte: a gear hash of 64 bits, shifted by one for each byte."""
-    table, out, at, h = [int(x) for x in fingerprint.gear()], [], 0, 0
-    for k, b in enumerate(data):
-        h = ((h << 1) + table[b]) % (1 << 64)
+    """Ends of chunks byte by byte: a gear hash of the last 32 bytes, each shifted by its distance."""
+    table, out, at = [int(x) for x in fingerprint.gear()], [], 0
+    for k in range(len(data)):
+        h = sum(table[data[k - j]] << j for j in range(min(32, k + 1))) % (1 << 64)
         size, low = k + 1 - at, h % (1 << 37) >> 31  # bits that all of the last 32 bytes reach
         if size >= fingerprint.LEAST and low % 64 == 0 or size >= fingerprint.NORMAL and low % 16 == 0 or size == fingerprint.MOST:
             out.append(k + 1)
@@ -292,7 +292,6 @@ def test_chunks_byte_by_byte():
         for alphabet in ("ab", "abcdefgh ijklmnop", "\x00", "é漢字 x"):
             data = "".join(rng.choice(alphabet) for _ in range(n)).encode()
             assert fingerprint.cuts(data) == plain_cuts(data)
-    # The window of 32 bytes decides, so what lies before it does not: hashes of the plain form are the same there.
     assert (fingerprint.HARD, fingerprint.EASY) == (63 << 31, 15 << 31)
 
 
