@@ -63,8 +63,8 @@ def sets(text, shingle=4):
     return {tuple(w[k : k + shingle]) for k in range(len(w) - shingle + 1)} if len(w) >= shingle else {tuple(w)} - {()}
 
 
-def groups(ids, texts, percent=85):
-    own = [sets(t) for t in texts]
+def groups(ids, texts, percent=85, shingle=4):
+    own = [sets(t, shingle) for t in texts]
     root = list(range(len(ids)))
 
     def find(x):
