@@ -105,6 +105,7 @@ def process_files(raw: DataFrame, ledger: DataFrame, aliases: dict[str, list[str
         "lookup_master": match.lookup_usage(matched, dims.lookup_master, as_of, line_order(matched)),
         "counters": report.run_counters(raw.join(read, "from_file", "left_semi"), matched),
         "ledger": files.append_entries(ledger, files.file_entries(lines, as_of, read)),
+        "undecided_dates": sheets.undecided_dates(),
         "issues": found}
 
 

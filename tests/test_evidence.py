@@ -73,14 +73,16 @@ def test_sheets_keep_to_themselves(spark):
 
 
 def test_conform_reads_dates_by_the_sheet(spark, dims):  # noqa: F811
-    got, found = conform.conform(
+    out = conform.conform_sheets(
         raw(spark, sheet("LAT 1", "s", base(Date="1/5/2024"), base(Date="25/5/2024")), sheet("LAT 2", "s", base(Date="1/5/2024"), base(Date="5/25/24")),
             sheet("LAT 3", "s", base(Date="1/5/2024"), base(Date="2/2/2024"))),
         ALIASES, dims.principals, dims.distributor_map, dims.invoice_log)
-    assert {(r.from_file, r.row_idx): r.invoice_date for r in got.collect()} == {
+    assert {(r.from_file, r.row_idx): r.invoice_date for r in out.lines.collect()} == {
         ("LAT 1", 0): day(2024, 5, 1), ("LAT 1", 1): day(2024, 5, 25), ("LAT 2", 0): day(2024, 1, 5), ("LAT 2", 1): day(2024, 5, 25),
         ("LAT 3", 0): day(2024, 1, 5), ("LAT 3", 1): day(2024, 2, 2)}
-    assert [(r.code, r.from_file, r.detail, r.fatal) for r in found.collect()] == [("UNDECIDED_DATES", "LAT 3", "invoice_date 1", False)]
+    assert out.issues.count() == 0
+    assert [(r.code, r.from_file, r.detail, r.fatal) for r in out.undecided_dates().collect()] == [
+        ("UNDECIDED_DATES", "LAT 3", "invoice_date 1", False)]
 
 
 @pytest.mark.parametrize("cells, kind", [
