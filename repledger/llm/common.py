@@ -29,15 +29,25 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Spark's setting by which an execution removes its shuffle files when it ends.
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def stage(df: DataFrame, name: str, held: list[DataFrame] | None = None) -> DataFrame:
     """Write `df` to a new folder of the shared folder and read it back, which cuts the lineage.
 
     The files outlive executors; the folder goes when the driver ends, or when `drop_stage` is called. With `held`, the
-    stage is noted there, to be dropped with others.
+    stage is noted there, to be dropped with others. The shuffle files of the write go as it ends, as nothing reads them
+    again; otherwise they would stay on the executors until the driver happens to collect garbage.
     """
     spark = df.sparkSession
     folder = f"{shared_folder(spark)}/llm-{name}-{uuid.uuid4().hex}"
-    df.write.parquet(folder)
+    before = spark.conf.get(SHUFFLE_CLEANUP, None)
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        df.write.parquet(folder)
+    finally:
+        spark.conf.unset(SHUFFLE_CLEANUP) if before is None else spark.conf.set(SHUFFLE_CLEANUP, before)
     out = spark.read.schema(df.schema).parquet(remove_at_exit(spark, folder))
     out.stage_folder = folder
     if held is not None:
