@@ -167,10 +167,37 @@ def test_combinations_meet_for_every_pair_that_links():
             own.sizes = np.diff(own.bounds)
             owner, keys = own.combinations(85)
             assert set(keys[owner == 0].tolist()) & set(keys[owner == 1].tolist()), (n, extra, apart)
-            first, tokens = own.prefixes(85)
+            counts = rng.integers(0, 9, 1 << jaccard.CELL_BITS)  # any order that both share
+            first, tokens = own.prefixes(85, counts)
             assert set(tokens[first == 0].tolist()) & set(tokens[first == 1].tolist())
 
 
+def test_token_counts_cover_all_texts(spark):
+    """Every shingle of every text counts in its cell, and prefixes take the tokens of the least counts."""
+    texts = ["one passage that many of these texts share " + " ".join(f"w{k}x{n}" for n in range(k)) for k in range(30)]
+    docs = spark.createDataFrame([*enumerate(texts), (90, None), (91, ""), (92, "two words")], "doc_id long, text string")
+    counts = jaccard.token_counts(docs.repartition(5), 4)
+    assert counts.sum() == sum(len(t.split()) - 3 for t in texts) and len(counts) == 1 << jaccard.CELL_BITS
+    assert jaccard.token_counts(docs.where("doc_id > 89"), 4).sum() == 0
+    assert np.sort(counts)[-5:].min() >= 30  # the passage has five shingles, each in all texts
+    words, = word_blocks(pa.array([texts[29]]), lower=True)
+    own = jaccard.Sets(words, 4)
+    _, kept = own.prefixes(85, counts)
+    frequent = own.tokens[counts[jaccard._cell(own.tokens)] >= 30]
+    assert len(kept) and len(frequent) == 5 and not set(kept.tolist()) & set(frequent.tolist())
+
+
+def test_sizes_are_met_by_levels(spark, monkeypatch):
+    """Sets of all sizes in one family of many blocks link as they do in one block."""
+    monkeypatch.setattr(jaccard, "SMALL", 0)
+    whole = [f"a{k}" for k in range(160)]
+    texts = [" ".join(whole[:n]) for n in range(20, 160, 2)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    monkeypatch.setattr(jaccard, "BLOCK_SETS", 3)
+    got = [tuple(r) for r in jaccard.alike(docs).collect()]
+    assert ordered(got) == ordered(groups(list(range(len(texts))), texts))
+
+
 def only(*tokens):
     """Sets of these tokens alone, without texts."""
     own = jaccard.Sets.__new__(jaccard.Sets)
