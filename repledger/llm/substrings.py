@@ -197,8 +197,9 @@ def _counted_rows(suffixes: DataFrame, window: int) -> DataFrame:
                      pa.array(full[words.bounds[row] + bit].view(np.int64)),
                      pa.array(bit.astype(np.int32))], ["gram", "whole", "copies", "full", "bit"])
 
-    leaves = stage(in_arrow(suffixes, rows, "gram long, whole long, copies long, full long, bit int"), "leaves")
-    nodes = stage(leaves.groupBy("full").agg(F.sum("copies").alias("n")).where("n > 1").select("full"), "nodes")
+    # Not stored: what reads the leaves runs with the trees, so all share the one shuffle of the texts.
+    leaves = in_arrow(suffixes, rows, "gram long, whole long, copies long, full long, bit int")
+    nodes = leaves.groupBy("full").agg(F.sum("copies").alias("n")).where("n > 1").select("full")
     found = leaves.join(nodes, "full", "left_semi")
     return found.groupBy("gram", "whole").agg(F.expr("bit_or(shiftleft(1L, bit))").alias("mask"))
 

@@ -50,6 +50,24 @@ def test_repeats_of_few_words(spark, group):
     assert all(sum(s.stop - s.first for s in spans[k]) == got[k][1] for k in got)
 
 
+def test_texts_are_moved_once(spark, tmp_path, monkeypatch):
+    """Long prefixes read the texts where the trees do: no stage reads them but that of the anchors."""
+    rng = random.Random(3)
+    texts = [" ".join(rng.choice("abc") for _ in range(rng.randint(0, 60))) for _ in range(60)]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/docs")
+    staged = []
+
+    def recorded(df, name, *rest, stage=substrings.stage):
+        staged.extend([name] if any("/docs/" in f for f in df.inputFiles()) else [])
+        return stage(df, name, *rest)
+
+    monkeypatch.setattr(substrings, "stage", recorded)
+    found = substrings.repeats(spark.read.parquet(f"{tmp_path}/docs"), 9, 3, 2)
+    got = {r.doc_id: (r.n_words, r.n_removed, r.kept) for r in found.collect()}
+    assert got == dict(enumerate(repeats(texts, 9)))
+    assert staged == ["anchors"]
+
+
 def test_least_is_the_first_of_equals():
     rng = np.random.default_rng(1)
     values = rng.integers(0, 5, 200).astype(np.uint64)
