@@ -182,6 +182,43 @@ def test_rare_tokens_and_rare_grams(nasty):
     assert sorted(pairs(lm.score(nasty, few), *cols), key=repr) == sorted(pairs(lm.score(nasty, full), *cols), key=repr)
 
 
+@pytest.mark.parametrize("sheaf", [lm.SHEAF, 1000, 1])
+def test_scores_without_a_filter_on_the_workers(nasty, sheaf):
+    """Texts that are learnt from and scored in one go, in sheaves of any size, have the scores of the filter of all n-grams;
+    a filter of bounded size would give others."""
+    cols = ("doc_id", "lang", "part", "n_tokens", "n_known", F.round("base_score", 6), F.round("score", 6))
+    model = lm.fit(nasty.where(lm.learnt()))
+    found, own = lm.fit_and_score(nasty, sheaf=sheaf)
+    assert (own.train_tokens, own.distinct, own.least, own.table) == (model.train_tokens, model.distinct, 1, None)
+    want = sorted(pairs(lm.score(nasty, model), *cols), key=repr)
+    assert sorted(pairs(found, *cols), key=repr) == want
+    few = lm.fit(nasty.where(lm.learnt()), share=64)
+    assert sorted(pairs(lm.score(nasty, few), *cols), key=repr) != want
+
+
+def test_no_text_or_none_to_learn_from(nasty, none):
+    assert lm.fit_and_score(none)[0].count() == 0
+    found, model = lm.fit_and_score(nasty.where("doc_id is null"))  # a null id is neither learnt from nor held out
+    assert model.train_tokens == 0
+    assert [r.n_known for r in found.collect()] == [0, 0, 0]
+
+
+def test_texts_that_come_otherwise_are_refused(spark, monkeypatch):
+    docs = spark.range(40).select(F.col("id").alias("doc_id"), F.lit("a text").alias("text"))
+    sent = []
+
+    def read_anew(df, *rest, in_arrow=lm.in_arrow):
+        """Each reading of the texts has other ones."""
+        sent.append(df)
+        if "text" in df.columns and "_learnt" in df.columns and "name" not in df.columns:
+            df = df.withColumn("text", F.concat_ws(" ", "text", F.lit(str(len(sent)))))
+        return in_arrow(df, *rest)
+
+    monkeypatch.setattr(lm, "in_arrow", read_anew)
+    with pytest.raises(Exception, match="another order"):
+        lm.fit_and_score(docs)
+
+
 def test_empty_corpus(nasty, none):
     model = lm.fit(none)
     assert (model.train_tokens, model.distinct) == (0, 0)
