@@ -293,3 +293,18 @@ def test_words_of_blocks():
             own = words.of(k)
             found.append([words.data[a:b].tobytes().decode() for a, b in zip(words.starts[own], words.ends[own])])
     assert found == [WORD.findall(t or "") for t in texts]
+
+
+def test_pairs_are_verified_before_blocks_meet(spark, monkeypatch):
+    """The sets of pairs and those of blocks are sent by stages of their own, so they do not lie on disk together."""
+    rng = random.Random(8)
+    texts = []
+    for k in range(6):
+        base = [f"w{k}x{n}" for n in range(200)]
+        texts += [" ".join(base[:n] + [f"new{k}x{n}"] + base[n + 1 :]) for n in rng.sample(range(200), 2 if k else 12)]
+    staged = []
+    monkeypatch.setattr(jaccard, "stage", lambda df, name, *rest, stage=jaccard.stage: staged.append(name) or stage(df, name, *rest))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = sorted(tuple(r) for r in jaccard.alike(docs).collect())
+    assert got == groups(range(len(texts)), texts)
+    assert "blocks" in staged and staged.index("verified") < staged.index("blocks")
