@@ -22,6 +22,19 @@ def reads(df):
     return len(re.findall(r"Relation \[l_orderkey", df._jdf.queryExecution().optimizedPlan().toString()))
 
 
+def test_second_delivery_is_not_made_anew(spark):
+    t = Tables(spark, SF)
+    mended = sheets.mended_sheets(t)
+    assert reads(mended) == 0
+    rows = sheets.exported_sheets(t, t.sheet_rows.filter(f"not {sheets.FAULTY} and from_file is not null"))
+    cells = F.to_json(F.array_sort(F.map_entries("cells"))).alias("cells")
+
+    def shown(df):
+        return sorted(map(str, df.select("from_file", "sheet_name", "sheet_no", "row_idx", cells).collect()))
+
+    assert shown(mended) == shown(rows)
+
+
 def test_stored_tables_are_small_files(spark, tmp_path):
     df = spark.createDataFrame([(1, dt.date(2001, 1, 1)), (2, None)], "n int, comm_month date")
     sinks.stager(str(tmp_path / "stage"))(df)
