@@ -156,9 +156,10 @@ select t_end_cust, cm, part_number, {pivot_cells('quarter_shipped', PIVOT_QUARTE
 from tagged where quarter_shipped in ('2000Q4','2001Q1','2001Q2','2001Q3','2001Q4')
 group by t_end_cust, cm, part_number""")
 def revenue_pivot(t: Tables):
-    lines = report.revenue_history(t.lines)
+    quarters = report.newest_quarters(t.lines)
+    lines = report.revenue_history(t.lines, quarters=quarters)
     return report.pivot_sum(lines, ["t_end_cust", "cm", "part_number"], "quarter_shipped", "paid_on_revenue",
-                            values=report.labels(report.last_quarters(t.lines), "quarter_shipped"), to="decimal(18,2)")
+                            values=report.headings(quarters), to="decimal(18,2)")
 
 
 @query("revenue_pivot_by_person", ("lines", "accounts", "salespeople"), "with " + CDS + f""",
@@ -171,10 +172,10 @@ from owners where quarter_shipped in ('2000Q4','2001Q1','2001Q2','2001Q3','2001Q
  and salesperson in (select sales_initials from salespeople)
 group by salesperson, principal, t_end_cust, part_number, cm""")
 def revenue_pivot_by_person(t: Tables):
-    lines = report.revenue_by_person(report.revenue_history(t.lines), t.accounts, t.salespeople)
+    quarters = report.newest_quarters(t.lines)
+    lines = report.revenue_by_person(report.revenue_history(t.lines, quarters=quarters), t.accounts, t.salespeople)
     return report.pivot_sum(lines, ["salesperson", "principal", "t_end_cust", "part_number", "cm"], "quarter_shipped",
-                            "paid_on_revenue", to="decimal(18,2)",
-                            values=report.labels(report.last_quarters(t.lines), "quarter_shipped"))
+                            "paid_on_revenue", to="decimal(18,2)", values=report.headings(quarters))
 
 
 QUARTER_REPORT = """m as (select max(comm_month) as m from lines),
@@ -203,7 +204,8 @@ select principal, cds, t_end_cust, part_number, cm, coalesce(quarter_shipped,'(b
  cast(sum(paid_on_revenue) as decimal(18,2)) as value
 from tagged where coalesce(quarter_shipped,'') in (select coalesce(q,'') from q) group by all""")
 def overall_revenue_pivot(t: Tables):
-    return report.overall_revenue_pivot(match.tag_current_design_sales(report.revenue_history(t.lines), t.accounts))
+    kept = report.revenue_history(t.lines, quarters=report.newest_quarters(t.lines))
+    return report.overall_revenue_pivot(match.tag_current_design_sales(kept, t.accounts))
 
 
 @query("quarterly_principals", ("lines",), "with " + SHARED + """,

@@ -22,6 +22,20 @@ def reads(df):
     return len(re.findall(r"Relation \[l_orderkey", df._jdf.queryExecution().optimizedPlan().toString()))
 
 
+@pytest.mark.parametrize("name", ["revenue_pivot", "revenue_pivot_by_person", "overall_revenue_pivot"])
+def test_pivots_read_the_lines_once_for_the_known_quarters(spark, name):
+    assert reads(entry.queries()[name](spark, SF)) == 1
+
+
+def test_known_quarters_keep_the_same_lines(spark):
+    df = spark.createDataFrame([("2023Q%d" % i,) for i in range(1, 5)] + [(None,), ("",), ("2024Q1",), ("2024Q1",)], "quarter_shipped string")
+    for lines in (df, df.filter("quarter_shipped is null or quarter_shipped in ('', '2024Q1')"), df.filter("false")):
+        quarters = report.newest_quarters(lines)
+        got = report.revenue_history(lines, quarters=quarters).collect()
+        assert sorted(map(str, got)) == sorted(map(str, report.revenue_history(lines).collect()))
+        assert report.headings(quarters) == report.labels(report.last_quarters(lines), "quarter_shipped")
+
+
 def test_second_delivery_is_not_made_anew(spark):
     t = Tables(spark, SF)
     mended = sheets.mended_sheets(t)
