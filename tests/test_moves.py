@@ -36,6 +36,25 @@ def test_known_quarters_keep_the_same_lines(spark):
         assert report.headings(quarters) == report.labels(report.last_quarters(lines), "quarter_shipped")
 
 
+def test_merge_tables_read_the_lines_once(spark):
+    target, source = merging.merge_tables(Tables(spark, SF))
+    assert (reads(target), reads(source)) == (1, 1)
+
+
+def test_merge_tables_rows(spark):
+    new, old = dt.date(2001, 5, 1), dt.date(2000, 5, 1)
+    lines = spark.createDataFrame(
+        [("a", "1", 50, "X", 20, new), ("b", "2", 1, "Y", None, new), ("c", "3", None, None, 20, new), ("d", "4", 50, "Z", 20, old),
+         (None, "5", 1, "W", 20, new)], "unique_id string, row_idx string, quantity long, t_end_cust string, cm_split int, comm_month date")
+    target, source = merging.merge_tables(SimpleNamespace(lines=lines))
+    assert target.columns == lines.columns
+    assert sorted(str(r.unique_id) for r in target.collect()) == ["None", "a", "a", "b", "c", "d", "d"]
+    assert source.columns == ["unique_id", "row_idx", "pass", "t_end_cust", "cm_split"]
+    assert sorted(map(tuple, source.collect()), key=str) == sorted([
+        ("a", "1", 1, "X *", 50), ("a", "1", 2, "X **", 30), ("b", "2", 1, "Y *", 50), ("new-b", "2", 1, "Y", 20),
+        ("c", "3", 1, None, 50), (None, "5", 1, "W *", 50), (None, "5", 1, "W", 20)], key=str)
+
+
 def test_second_delivery_is_not_made_anew(spark):
     t = Tables(spark, SF)
     mended = sheets.mended_sheets(t)
