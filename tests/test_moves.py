@@ -55,6 +55,10 @@ def test_merge_tables_rows(spark):
         ("c", "3", 1, None, 50), (None, "5", 1, "W *", 50), (None, "5", 1, "W", 20)], key=str)
 
 
+def test_compared_tables_come_from_one_read(spark):
+    assert reads(merging.merge_difference(Tables(spark, SF))) == 0  # the lines are stored before
+
+
 def test_second_delivery_is_not_made_anew(spark):
     t = Tables(spark, SF)
     mended = sheets.mended_sheets(t)
