@@ -40,7 +40,7 @@ def token_rows(docs: DataFrame, path: str, end_id: int, words_apart: bool) -> Da
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, part int, at long, n long, id_bytes int, ids binary"
-    return stage(in_arrow(docs.select("doc_id", "text"), rows, schema), "tokens")
+    return stage(in_arrow(docs.select("doc_id", "text"), rows, schema, remembers=True), "tokens")
 
 
 def _batch(rows: list[tuple], id_type: pa.DataType) -> pa.RecordBatch:
@@ -92,7 +92,7 @@ def pack(docs: DataFrame, path: str, end_id: int = 2, length: int = 4096, words_
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
-    return in_arrow(placed, cut, schema)
+    return in_arrow(placed, cut, schema, remembers=True)
 
 
 def _pieces(rows: list[tuple], id_type: pa.DataType) -> pa.RecordBatch:

@@ -78,7 +78,7 @@ def write_tokens(docs: DataFrame, folder: str, path: str, end_id: int = 1, words
     kind = docs.schema["doc_id"].dataType.simpleString()
     ordered = docs.select("doc_id", "text").repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
     schema = f"shard int, block int, bits int, start long, n_ids long, doc_ids array<{kind}>, sizes array<long>, ids binary"
-    in_arrow(ordered, blocks, schema).write.parquet(f"{folder}/blocks")
+    in_arrow(ordered, blocks, schema, remembers=True).write.parquet(f"{folder}/blocks")
     spark = docs.sparkSession
     totals = spark.read.parquet(f"{folder}/blocks").groupBy(F.col("shard").alias("part")).agg(F.sum("n_ids").alias("total"))
     part_bases(totals).write.parquet(f"{folder}/index")
@@ -118,7 +118,7 @@ def read_tokens(spark: SparkSession, folder: str) -> DataFrame:
     blocks = _blocks(spark, folder)
     kind = blocks.schema["doc_ids"].dataType.elementType.simpleString()
     return in_arrow(blocks.select("start", "bits", "doc_ids", "sizes", "ids"), documents,
-                    f"doc_id {kind}, start long, n_tokens long, ids binary")
+                    f"doc_id {kind}, start long, n_tokens long, ids binary", remembers=True)
 
 
 def _documents(rows: list[tuple], kind: pa.DataType) -> pa.RecordBatch:
@@ -139,4 +139,4 @@ def read_range(spark: SparkSession, folder: str, start: int, n: int) -> DataFram
                 ids = unpack_bits(row["ids"], row["bits"], a - row["start"], b - a).tobytes()
                 yield pa.RecordBatch.from_arrays([pa.array([a], pa.int64()), pa.array([ids], pa.binary())], ["start", "ids"])
 
-    return in_arrow(cut.select("start", "bits", "n_ids", "ids"), slices, "start long, ids binary")
+    return in_arrow(cut.select("start", "bits", "n_ids", "ids"), slices, "start long, ids binary", remembers=True)

@@ -9,6 +9,8 @@ import unicodedata
 import numpy as np
 import pyarrow as pa
 
+from repledger.llm.common import REMEMBERED_BY
+
 #: Words and word stems remembered by a worker; beyond it the memory starts anew, which changes no result.
 REMEMBERED = 500_000
 #: Punctuation that may end a word and is then encoded apart from its letters; an apostrophe binds to letters.
@@ -104,6 +106,9 @@ def encoder(path: str, words_apart: bool) -> Encoder:
     return Encoder(path, words_apart)
 
 
+REMEMBERED_BY.append(encoder.cache_clear)
+
+
 def texts(column: pa.Array):
     """UTF-8 of each text of an Arrow column; null as empty."""
     for value in column.cast(pa.binary() if pa.types.is_string(column.type) else pa.large_binary()):

@@ -7,8 +7,9 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from repledger.llm import packing, tokenfile
+from repledger.llm.common import in_arrow
 from repledger.llm.queries import tokenizer_file
-from repledger.llm.tokens import Encoder
+from repledger.llm.tokens import Encoder, encoder
 from tokenizers import Tokenizer
 
 LIBRARY = Tokenizer.from_file(tokenizer_file())
@@ -98,3 +99,18 @@ def test_token_file(spark, nasty, none, tmp_path):
     empty = str(tmp_path / "empty")
     tokenfile.write_tokens(none, empty, tokenizer_file())
     assert tokenfile.read_tokens(spark, empty).count() == 0
+
+
+def test_another_operator_lets_remembered_words_go(spark):
+    class Frame:
+        sparkSession = spark
+
+        def mapInArrow(self, fn, schema):
+            return lambda: list(fn(iter([])))
+
+    def held(batches):
+        yield encoder.cache_info().currsize
+
+    encoder(tokenizer_file(), True)
+    assert in_arrow(Frame(), held, "n int", remembers=True)() == [1]
+    assert in_arrow(Frame(), held, "n int")() == [0]
