@@ -11,12 +11,14 @@ the anchor and the node of its words before it have two leaves in common.
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from repledger.llm.common import STEP, Words, drop_stage, in_arrow, mix, stage, word_blocks
+from repledger.llm.common import STEP, Words, drop_stage, in_arrow, in_small_batches, mix, stage, word_blocks
 
 WINDOW, PREFIX = 35, 8
 #: Suffixes of one prefix that form one group; with more, their prefixes are lengthened.
@@ -104,6 +106,22 @@ def _suffixes(marked: DataFrame, window: int, prefix: int, group: int) -> DataFr
     return in_arrow(marked, rows, "gram long, whole long, copies long, before int, windows int, words binary")
 
 
+class Hashes(NamedTuple):
+    """Hashes of the words of many rows: those of row k are bounds[k] to bounds[k + 1]."""
+
+    hashes: np.ndarray
+    bounds: np.ndarray
+
+
+def hashes_of(column: pa.Array) -> Hashes:
+    """Of all rows at once; their bytes are taken a block at a time, as each needs some forty bytes while it is hashed."""
+    hashes, bounds = [np.zeros(0, np.uint64)], [np.zeros(1, np.int64)]
+    for words in word_blocks(column):
+        hashes.append(words.hashes)
+        bounds.append(bounds[-1][-1] + words.bounds[1:])
+    return Hashes(np.concatenate(hashes), np.concatenate(bounds))
+
+
 def _shared(order: np.ndarray, words: np.ndarray, group: np.ndarray) -> np.ndarray:
     """Words that each suffix shares with the one before it in order; -1 at the start of a group."""
     a = words[order]
@@ -113,7 +131,7 @@ def _shared(order: np.ndarray, words: np.ndarray, group: np.ndarray) -> np.ndarr
     return out
 
 
-def repeated_windows(words: Words, group: np.ndarray, before: np.ndarray, windows: np.ndarray, copies: np.ndarray,
+def repeated_windows(words: Hashes, group: np.ndarray, before: np.ndarray, windows: np.ndarray, copies: np.ndarray,
                      window: int) -> np.ndarray:
     """Of each suffix, a bit for each of its windows, the first lowest, that says if it is found elsewhere.
 
@@ -158,10 +176,8 @@ def _tree_rows(suffixes: DataFrame, window: int) -> DataFrame:
     dealt = suffixes.repartition("gram").sortWithinPartitions("gram")
 
     def solve(batch: pa.RecordBatch):
-        column = {c: batch.column(c).to_numpy() for c in ("gram", "before", "windows", "copies")}
-        masks = np.concatenate([
-            repeated_windows(w, *(column[c][w.first : w.last] for c in ("gram", "before", "windows", "copies")), window)
-            for w in word_blocks(batch.column("words"), block_bytes=1 << 60)])
+        columns = (batch.column(c).to_numpy() for c in ("gram", "before", "windows", "copies"))
+        masks = repeated_windows(hashes_of(batch.column("words")), *columns, window)
         return pa.RecordBatch.from_arrays([batch.column("gram"), batch.column("whole"), pa.array(masks)],
                                           ["gram", "whole", "mask"])
 
@@ -217,6 +233,7 @@ def repeats(docs: DataFrame, window: int = WINDOW, prefix: int = PREFIX, group:
     """
     if not prefix <= window <= 64 or window - prefix + 1 > 63:
         raise ValueError("a window has at most 64 words, and at most 62 more than its prefix")
+    in_small_batches(docs.sparkSession)
     new = ("n_words", "n_removed", "spans", "kept")
     rest = [F.col(f"`{c}`") for c in docs.columns if c not in (*new, "text")]
     rows = docs.select(F.xxhash64(*([F.col("doc_id")] if "doc_id" in docs.columns else []), "text").alias("rid"), "text",
@@ -260,8 +277,8 @@ def _kept(marked: DataFrame, docs: DataFrame, rest: list, window: int) -> DataFr
     def rows(batches):
         for batch in batches:
             marks = batch.column("marks")
-            n_words, n_removed, spans, kept = [], [], [], []
             for words in word_blocks(batch.column("text")):
+                n_words, n_removed, spans, kept = [], [], [], []
                 data = words.data.tobytes()
                 for k in range(words.last - words.first):
                     own = words.of(k)
@@ -279,10 +296,13 @@ def _kept(marked: DataFrame, docs: DataFrame, rest: list, window: int) -> DataFr
                     spans.append([{"first": int(a), "stop": int(b)} for a, b in edges.reshape(-1, 2)])
                     stay = np.flatnonzero(~gone)
                     kept.append(b" ".join([data[a:b] for a, b in zip(starts[stay].tolist(), ends[stay].tolist())]))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("text"), batch.column("rest"), pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()),
-                 pa.array(spans, pa.list_(SPAN)), pa.array(kept, pa.binary()).cast(pa.string())],
-                ["text", "rest", "n_words", "n_removed", "spans", "kept"])
+                # A block at a time: the kept words of a whole batch would lie beside its texts.
+                own = slice(words.first, words.last)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("text")[own], batch.column("rest")[own], pa.array(n_words, pa.int64()),
+                     pa.array(n_removed, pa.int64()), pa.array(spans, pa.list_(SPAN)),
+                     pa.array(kept, pa.binary()).cast(pa.string())],
+                    ["text", "rest", "n_words", "n_removed", "spans", "kept"])
 
     kind = marked.schema["rest"].dataType.simpleString()
     schema = f"text string, rest {kind}, n_words long, n_removed long, spans array<struct<first:int,stop:int>>, kept string"

@@ -2,6 +2,7 @@
 
 import random
 import re
+import tracemalloc
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -308,3 +309,31 @@ def test_pairs_are_verified_before_blocks_meet(spark, monkeypatch):
     got = sorted(tuple(r) for r in jaccard.alike(docs).collect())
     assert got == groups(range(len(texts)), texts)
     assert "blocks" in staged and staged.index("verified") < staged.index("blocks")
+
+
+def peak(run):
+    """What `run` gives, and the most bytes that were held meanwhile."""
+    tracemalloc.start()
+    try:
+        return run(), tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+
+
+def test_trees_hash_their_words_in_blocks(monkeypatch):
+    """A task's suffixes are hashed a block of bytes at a time: all at once, each byte takes some forty more."""
+    class Dealt:
+        repartition = sortWithinPartitions = lambda self, *_: self
+
+    monkeypatch.setattr(substrings, "in_arrow", lambda df, fn, schema: fn)
+    rng = random.Random(4)
+    n = 6_000
+    texts = [" ".join(f"word{rng.randint(0, 99)}x{'y' * 30}" for _ in range(60)).encode() for _ in range(n)]
+    texts[1] = texts[0]
+    columns = [pa.array([k // 6 for k in range(n)]), pa.array(range(n)), pa.array([1] * n), pa.array([20] * n, pa.int32()),
+               pa.array([1] * n, pa.int32()), pa.array(texts, pa.binary())]
+    batch = pa.RecordBatch.from_arrays(columns, ["gram", "whole", "copies", "before", "windows", "words"])
+    out, most = peak(lambda: list(substrings._tree_rows(Dealt(), 35)(iter([batch]))))
+    masks = [m for b in out for m in b.column("mask").to_pylist()]
+    assert len(masks) == n and masks[:2] == [1, 1] and not any(masks[2:])
+    assert most < 10 * sum(map(len, texts))
