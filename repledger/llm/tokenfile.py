@@ -23,6 +23,8 @@ def bits_for(vocabulary: int) -> int:
 
 def pack_bits(ids: np.ndarray, bits: int) -> bytes:
     """Ids one after the other in `bits` bits each, most significant first; zero bits fill the last byte."""
+    if bits in (8, 16, 32):  # whole bytes are the ids themselves
+        return ids.astype(f">u{bits // 8}").tobytes()
     out = []
     for k in range(0, len(ids), BLOCK_IDS):
         wide = np.unpackbits(ids[k : k + BLOCK_IDS].astype(">u4").view(np.uint8)).reshape(-1, 32)
@@ -32,6 +34,8 @@ def pack_bits(ids: np.ndarray, bits: int) -> bytes:
 
 def unpack_bits(data: bytes, bits: int, first: int, n: int) -> np.ndarray:
     """n ids from id `first` on; only the bytes that hold them are touched."""
+    if bits in (8, 16, 32):
+        return np.frombuffer(data, f">u{bits // 8}", n, first * bits // 8).astype("<u4")
     out = []
     for k in range(first, first + n, BLOCK_IDS):
         m = min(BLOCK_IDS, first + n - k)

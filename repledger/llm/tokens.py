@@ -5,13 +5,14 @@ from __future__ import annotations
 import functools
 import os
 import unicodedata
+from array import array
 
 import numpy as np
 import pyarrow as pa
 
 from repledger.llm.common import REMEMBERED_BY
 
-#: Words and word stems remembered by a worker; beyond it the memory starts anew, which changes no result.
+#: Words, their stems and endings remembered by a worker; beyond it the memory starts anew, which changes no result.
 REMEMBERED = 500_000
 #: Punctuation that may end a word and is then encoded apart from its letters; an apostrophe binds to letters.
 _ENDINGS = b".,!?;:%&*#$|()[]\"-"
@@ -27,6 +28,20 @@ def byte_characters() -> dict[int, str]:
 BYTE_CHARACTERS = byte_characters()
 
 
+class Remembered(dict):
+    """What `find` gives for a key, found once while it is remembered."""
+
+    def __init__(self, find, most: int):
+        self.find, self.most = find, most
+
+    def __missing__(self, key):
+        found = self.find(key)
+        if len(self) >= self.most:
+            self.clear()
+        self[key] = found
+        return found
+
+
 class Encoder:
     """Ids of a text by a tokenizer file of the `tokenizers` library, without special tokens.
 
@@ -43,8 +58,8 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.words_apart = words_apart
         self.size = self.tokenizer.get_vocab_size(with_added_tokens=True)
-        self.words: dict[bytes, bytes] = {}
-        self.stems: dict[bytes, bytes] = {}
+        #: Words, and the stems and endings of words, as a stem is a word without an ending.
+        self.words = Remembered(self._word, REMEMBERED)
 
     def _library(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -58,46 +73,21 @@ class Encoder:
         low = "".join([c.lower() for c in unicodedata.normalize("NFC", stem)])
         return low.encode().decode("latin-1").translate(BYTE_CHARACTERS) if low.isalpha() else None
 
-    def _stem(self, stem: bytes) -> bytes:
-        found = self.stems.get(stem)
-        if found is None:
-            piece = self._one_piece(stem.decode())
-            if piece is not None:
-                ids = [t.id for t in self.tokenizer.model.tokenize(piece)]
-                found = np.array(ids, "<u4").tobytes()
-            else:
-                found = self._library([stem.decode()])[0]
-            if len(self.stems) >= REMEMBERED:
-                self.stems.clear()
-            self.stems[stem] = found
-        return found
-
     def _word(self, word: bytes) -> bytes:
         stem = word.rstrip(_ENDINGS)
         if stem and len(stem) < len(word) and stem.decode()[-1].lower().isalpha():
-            return self._stem(stem) + self._stem(word[len(stem) :])
-        return self._stem(word)
+            return self.words[stem] + self.words[word[len(stem) :]]
+        piece = self._one_piece(word.decode())
+        if piece is None:
+            return self._library([word.decode()])[0]
+        return array("I", [t.id for t in self.tokenizer.model.tokenize(piece)]).tobytes()
 
     def encode(self, text: bytes) -> np.ndarray:
         """Ids of a text given as UTF-8."""
         if not self.words_apart:
             return np.frombuffer(self._library([text.decode()])[0], "<u4")
-        split = text.split()  # bytes are split at the six white characters of ASCII only
-        known = self.words
-        try:
-            return np.frombuffer(b"".join([known[w] for w in split]), "<u4")
-        except KeyError:
-            pass
-        out = []
-        for w in split:
-            ids = known.get(w)
-            if ids is None:
-                ids = self._word(w)
-                if len(known) >= REMEMBERED:
-                    known.clear()
-                known[w] = ids
-            out.append(ids)
-        return np.frombuffer(b"".join(out), "<u4")
+        # Bytes are split at the six white characters of ASCII only.
+        return np.frombuffer(b"".join(map(self.words.__getitem__, text.split())), "<u4")
 
 
 @functools.cache
