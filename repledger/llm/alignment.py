@@ -5,6 +5,7 @@ from __future__ import annotations
 import functools
 import hashlib
 import json
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -41,6 +42,7 @@ class ByteLevel:
         for b, i in ranks.items():
             self.bytes[i] = b
         self.lengths = np.array([len(b) for b in self.bytes], np.int64)
+        self.joined = np.array(self.bytes, object)
 
     def encode(self, text: str) -> np.ndarray:
         """Ids of a text; strings of special tokens are plain text."""
@@ -64,43 +66,44 @@ class Pieces:
         self.bytes = [bytes([int(p[3:5], 16)]) if self.model.is_byte(i) else p.replace(SPACE, " ").encode()
                       for i, p in enumerate(pieces)]
         self.lengths = np.array([len(b) for b in self.bytes], np.int64)
-        self.words: dict[str, bytes | None] = {}
-
-    def _word(self, spaced: str) -> bytes | None:
-        """Ids of a run of spaces and the word after it, if any, or None if their bytes are not those of the run."""
-        if spaced.strip(" "):
-            ids = self.model.encode(spaced[1:])
-        else:  # at the end of a text; alone, spaces would get another one in front
-            ids = self.model.encode("a" + spaced)[len(self.model.encode("a")) :]
-        if b"".join([self.bytes[i] for i in ids]) != spaced.encode():
-            return None
-        return np.array(ids, np.int32).tobytes()
+        #: Ids of a run of spaces and the word after it, if any, by the word if there is one space; False if bytes differ.
+        self.words: dict[str, bytes | bool] = {}
+
+    def _learn(self, runs: list[str]) -> None:
+        """Remember the ids of words, each with the one space before it left out, and of other runs."""
+        if len(self.words) + len(runs) > REMEMBERED:
+            self.words.clear()
+        # Alone, spaces at the end of a text would get another one in front.
+        ends = len(self.model.encode("a"))
+        found = self.model.encode([r.removeprefix(" ") if r.strip(" ") else "a" + r for r in runs], num_threads=1)
+        for run, ids in zip(runs, found):
+            if not run.strip(" "):
+                ids = ids[ends:]
+            spaced = run if run[0] == " " else " " + run
+            same = b"".join([self.bytes[i] for i in ids]) == spaced.encode()
+            self.words[run] = same and array("i", ids).tobytes()
 
     def encode(self, text: str) -> np.ndarray | None:
         """Ids of `text` with a space in front; None if their bytes are others."""
         if SPACE in text:
             return None  # it would come back as a space
-        split, spaces = [], 1
-        for word in text.split(" "):
-            if word:
-                split.append(" " * spaces + word)
-                spaces = 1
-            else:
-                spaces += 1
-        if spaces > 1:
-            split.append(" " * (spaces - 1))
-        known, out = self.words, []
-        for word in split:
-            ids = known.get(word, b"")
-            if ids == b"":
-                ids = self._word(word)
-                if len(known) >= REMEMBERED:
-                    known.clear()
-                known[word] = ids
-            if ids is None:
-                return None
-            out.append(ids)
-        return np.frombuffer(b"".join(out), np.int32).astype(np.int64)
+        split = text.split(" ")
+        if not all(split):  # other than one space before each word
+            runs, spaces = [], 1
+            for word in split:
+                if word:
+                    runs.append(word if spaces == 1 else " " * spaces + word)
+                    spaces = 1
+                else:
+                    spaces += 1
+            split = runs + ([" " * (spaces - 1)] if spaces > 1 else [])
+        found = list(map(self.words.get, split))
+        if None in found:
+            self._learn(list({w for w, ids in zip(split, found) if ids is None}))
+            found = [self.words[w] if ids is None else ids for w, ids in zip(split, found)]
+        if False in found:
+            return None
+        return np.frombuffer(b"".join(found), np.int32).astype(np.int64)
 
 
 @functools.cache
@@ -139,34 +142,29 @@ def terminals(ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[np.ndarray, np.nd
 
 def links(ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(token of A, token of B) of every two whose byte ranges overlap: one for each stretch between two ends of either."""
-    ends = np.union1d(ends_a, ends_b)
+    ends = np.concatenate([ends_a, ends_b])
+    ends.sort(kind="stable")  # two ascending runs are merged
+    ends = ends[np.append(ends[1:] != ends[:-1], True)]
     return np.searchsorted(ends_a, ends), np.searchsorted(ends_b, ends)
 
 
-class Written:
-    """Ids as text with what follows them, by place in a group."""
-
-    def __init__(self, size: int, last: bytes):
-        ids = [str(i).encode() for i in range(size)]
-        self.inner = np.array([i + b"," for i in ids], object)
-        self.final = np.array([i + last for i in ids], object)
-
-
 @functools.cache
-def _written(size: int, last: bytes) -> Written:
-    return Written(size, last)
+def _written(size_a: int, size_b: int) -> np.ndarray:
+    """Texts of ids with what follows them: A's inside a group and at its end, then B's."""
+    out = [str(i).encode() + after for size, last in ((size_a, b"|"), (size_b, b";")) for after in (b",", last)
+           for i in range(size)]
+    return np.array(out, object)
 
 
 def group_text(a: np.ndarray, b: np.ndarray, of_a: np.ndarray, of_b: np.ndarray, size_a: int, size_b: int) -> bytes:
     """`a1,a2|b1;a3|b2,b3`: the ids of each group, given ascending labels of groups for both sides."""
-    text_a, text_b = _written(size_a, b"|"), _written(size_b, b";")
     last_a, last_b = np.append(of_a[1:] != of_a[:-1], True), np.append(of_b[1:] != of_b[:-1], True)
-    out = np.empty(len(a) + len(b), object)
+    out = np.empty(len(a) + len(b), np.int64)
     at_a = np.arange(len(a)) + np.searchsorted(of_b, of_a)  # tokens of B in earlier groups
     at_b = np.arange(len(b)) + np.searchsorted(of_a, of_b, "right")
-    out[at_a] = np.where(last_a, text_a.final[a], text_a.inner[a])
-    out[at_b] = np.where(last_b, text_b.final[b], text_b.inner[b])
-    return b"".join(out.tolist())[:-1]
+    out[at_a] = a + size_a * last_a
+    out[at_b] = b + 2 * size_a + size_b * last_b
+    return b"".join(_written(size_a, size_b)[out].tolist())[:-1]
 
 
 class Aligned:
@@ -183,7 +181,7 @@ class Aligned:
         ends_a, ends_b = np.cumsum(a.lengths[ids_a]), np.cumsum(b.lengths[ids_b])
         data = (" " + text).encode()
         # The pieces' bytes were compared word by word; the other side's are compared here, whole.
-        if ends_a[-1] != len(data) or ends_b[-1] != len(data) or b"".join([a.bytes[i] for i in ids_a.tolist()]) != data:
+        if ends_a[-1] != len(data) or ends_b[-1] != len(data) or b"".join(a.joined[ids_a]) != data:
             return
         self.a, self.b = ids_a, ids_b
         self.of_a, self.of_b = terminals(ends_a, ends_b)

@@ -350,3 +350,22 @@ def test_pointers_end_at_the_component():
     # A chain in which no two ends meet before the last byte.
     a, b = np.append(np.arange(2, 4000, 2), 4001), np.append(np.arange(1, 4000, 2), 4001)
     assert set(alignment.terminals(a, b)[0]) == set(alignment.terminals(a, b)[1]) == {4001}
+
+
+def test_a_texts_new_words_are_encoded_together(monkeypatch):
+    """One call of the library for all words of a text that are not remembered, with other runs of spaces among them."""
+    text = "one two  three   one\n two four "
+    plain = alignment.Pieces(FILE_B)
+    for most in (alignment.REMEMBERED, 2):
+        monkeypatch.setattr(alignment, "REMEMBERED", most)
+        own, calls = alignment.Pieces(FILE_B), []
+
+        class Model:
+            encode = staticmethod(lambda texts, model=own.model, **how: calls.append(texts) or model.encode(texts, **how))
+
+        own.model = Model
+        first = own.encode(text)
+        assert [x for x in calls if isinstance(x, list)] and len(calls) <= 2
+        b = b"".join(own.bytes[i] for i in first.tolist())
+        assert b == (" " + text).encode() and own.encode(text).tolist() == first.tolist()
+        assert own.encode("two one five").tolist() == plain.model.encode("two one five")
