@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from repledger.llm.common import in_arrow
+from repledger.llm.common import in_arrow, in_small_batches
 
 #: Bound of the sample that the model is fitted on: so many documents of each language, drawn by a hash of their id.
 SAMPLE_PER_LANGUAGE = 300
@@ -198,6 +198,7 @@ def identify(docs: DataFrame, model: Model, keep: bool = False) -> DataFrame:
     one language, from its first letter to behind its last. A text that is null or has no letter gets `und`, 0 and no
     span, as does any text if the model knows no language. Repeated and null ids stay; an empty table gives no row.
     """
+    in_small_batches(docs.sparkSession)
     held = docs.sparkSession.sparkContext.broadcast(model)  # CELLS rows for each language, however large the table
 
     def rows(batches):

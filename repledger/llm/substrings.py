@@ -80,8 +80,8 @@ def _anchor_rows(docs: DataFrame, window: int, prefix: int) -> DataFrame:
     return in_arrow(docs.select("rid", "text"), rows, "gram long, whole long, rid long, at int, before int, windows int")
 
 
-def _suffixes(marked: DataFrame, window: int, prefix: int, group: int) -> DataFrame:
-    """(gram, whole, copies, before, windows, words): the text of an anchor's windows, cut from its document."""
+def _cutter(window: int, prefix: int):
+    """(gram, whole, copies, before, windows, words) from batches: the text of an anchor's windows, cut from its document."""
     def rows(batches):
         for batch in batches:
             wanted = batch.column("wanted")
@@ -103,7 +103,7 @@ def _suffixes(marked: DataFrame, window: int, prefix: int, group: int) -> DataFr
                 names = ["gram", "whole", "copies", "before", "windows", "words"]
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds)], names)
 
-    return in_arrow(marked, rows, "gram long, whole long, copies long, before int, windows int, words binary")
+    return rows
 
 
 class Hashes(NamedTuple):
@@ -171,8 +171,9 @@ def repeated_windows(words: Hashes, group: np.ndarray, before: np.ndarray, windo
     return out
 
 
-def _tree_rows(suffixes: DataFrame, window: int) -> DataFrame:
+def _tree_rows(marked: DataFrame, window: int, prefix: int) -> DataFrame:
     """(gram, whole, mask) from the trees of each prefix, in blocks of whole groups."""
+    suffixes = in_arrow(marked, _cutter(window, prefix), "gram long, whole long, copies long, before int, windows int, words binary")
     dealt = suffixes.repartition("gram").sortWithinPartitions("gram")
 
     def solve(batch: pa.RecordBatch):
@@ -198,10 +199,13 @@ def _tree_rows(suffixes: DataFrame, window: int) -> DataFrame:
     return in_arrow(dealt, rows, "gram long, whole long, mask long")
 
 
-def _counted_rows(suffixes: DataFrame, window: int) -> DataFrame:
+def _counted_rows(marked: DataFrame, window: int, prefix: int) -> DataFrame:
     """(gram, whole, mask) for prefixes lengthened to the window: a node at that depth needs its leaves counted only."""
+    cut = _cutter(window, prefix)
+
     def rows(batches):
-        for batch in batches:
+        # One after the other in one worker: as two steps of a plan, each task would keep two workers.
+        for batch in cut(batches):
             for words in word_blocks(batch.column("words")):
                 full = words.grams(window)
                 windows = batch.column("windows").to_numpy()[words.first : words.last]
@@ -214,7 +218,7 @@ def _counted_rows(suffixes: DataFrame, window: int) -> DataFrame:
                      pa.array(bit.astype(np.int32))], ["gram", "whole", "copies", "full", "bit"])
 
     # Not stored: what reads the leaves runs with the trees, so all share the one shuffle of the texts.
-    leaves = in_arrow(suffixes, rows, "gram long, whole long, copies long, full long, bit int")
+    leaves = in_arrow(marked, rows, "gram long, whole long, copies long, full long, bit int")
     nodes = leaves.groupBy("full").agg(F.sum("copies").alias("n")).where("n > 1").select("full")
     found = leaves.join(nodes, "full", "left_semi")
     return found.groupBy("gram", "whole").agg(F.expr("bit_or(shiftleft(1L, bit))").alias("mask"))
@@ -261,7 +265,7 @@ def repeats(docs: DataFrame, window: int = WINDOW, prefix: int = PREFIX, group:
         wanted = part.groupBy(F.col("one.rid").alias("rid")).agg(F.collect_list(F.struct(
             "gram", "whole", "copies", F.col("one.at").alias("at"), "before", "windows")).alias("wanted"))
         # What is wanted grows with the corpus, so it is never sent whole to every task.
-        outcome.append(solve(_suffixes(rows.join(wanted.hint("merge"), "rid"), window, prefix, group), window))
+        outcome.append(solve(rows.join(wanted.hint("merge"), "rid"), window, prefix))
     masks = outcome[0] if len(outcome) == 1 else outcome[0].unionByName(outcome[1])
     # A suffix with copies repeats in all its windows, with or without a tree.
     every = F.expr("shiftleft(1L, windows) - 1")

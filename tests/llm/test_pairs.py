@@ -325,7 +325,7 @@ def test_trees_hash_their_words_in_blocks(monkeypatch):
     class Dealt:
         repartition = sortWithinPartitions = lambda self, *_: self
 
-    monkeypatch.setattr(substrings, "in_arrow", lambda df, fn, schema: fn)
+    monkeypatch.setattr(substrings, "in_arrow", lambda df, fn, schema: fn if isinstance(df, Dealt) else Dealt())
     rng = random.Random(4)
     n = 6_000
     texts = [" ".join(f"word{rng.randint(0, 99)}x{'y' * 30}" for _ in range(60)).encode() for _ in range(n)]
@@ -333,7 +333,28 @@ def test_trees_hash_their_words_in_blocks(monkeypatch):
     columns = [pa.array([k // 6 for k in range(n)]), pa.array(range(n)), pa.array([1] * n), pa.array([20] * n, pa.int32()),
                pa.array([1] * n, pa.int32()), pa.array(texts, pa.binary())]
     batch = pa.RecordBatch.from_arrays(columns, ["gram", "whole", "copies", "before", "windows", "words"])
-    out, most = peak(lambda: list(substrings._tree_rows(Dealt(), 35)(iter([batch]))))
+    out, most = peak(lambda: list(substrings._tree_rows(None, 35, 8)(iter([batch]))))
     masks = [m for b in out for m in b.column("mask").to_pylist()]
     assert len(masks) == n and masks[:2] == [1, 1] and not any(masks[2:])
     assert most < 10 * sum(map(len, texts))
+
+
+def test_links_of_a_block_hold_few_columns():
+    """Beside the tokens of both sides, a meeting of two blocks holds some thirty bytes a token at most."""
+    rng = np.random.default_rng(3)
+    sets = [np.unique(rng.integers(0, 2**63, 2_000, dtype=np.int64).astype(np.uint64)) for _ in range(200)]
+    out, most = peak(lambda: [int(p.sum()) for _, p in jaccard._linked(sets[:1], sets, 85)])
+    assert out == [1]
+    assert most < 60 * sum(map(len, sets))
+
+
+def test_a_task_of_the_trees_keeps_one_worker(spark):
+    """Long prefixes are cut and counted in one step of Python, and wide rows reach it in small batches."""
+    texts = [" ".join(f"a b c {k % 3} {j}" for j in range(20)) for k in range(40)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = substrings.repeats(docs, 9, 3, 2)
+    plan = found._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    depth = [len(line) - len(line.lstrip(" :+-")) for line in plan]
+    python = [k for k, line in enumerate(plan) if "MapInArrow" in line]
+    assert len(python) > 2 and not any(depth[k + 1] > depth[k] and "MapInArrow" in plan[k + 1] for k in python if k + 1 < len(plan))
+    assert spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch") == str(4 << 20)
