@@ -340,7 +340,7 @@ def test_trees_hash_their_words_in_blocks(monkeypatch):
 
 
 def test_links_of_a_block_hold_few_columns():
-    """Beside the tokens of both sides, a meeting of two blocks holds some thirty bytes a token at most."""
+    """Beside the tokens of both sides, a meeting of two blocks holds less than sixty bytes a token at its most."""
     rng = np.random.default_rng(3)
     sets = [np.unique(rng.integers(0, 2**63, 2_000, dtype=np.int64).astype(np.uint64)) for _ in range(200)]
     out, most = peak(lambda: [int(p.sum()) for _, p in jaccard._linked(sets[:1], sets, 85)])
