@@ -40,6 +40,6 @@ def test_the_second_delivery_lacks_the_faults_and_nothing_else(spark, tmp_path):
             for code in ("LAT", "TRI", "GAN", "XMO") for flag in ("A", "R") for n in (2, 13, None)]
     t = tables.Tables(spark, str(tmp_path))
     t._cache["sheet_rows"] = spark.createDataFrame(rows, SHEET_ROWS)
-    gone = {r.row_idx for r in t.sheet_rows.filter(sheets.FAULTS).collect()}
+    gone = {r.row_idx for r in t.sheet_rows.filter(sheets.FAULTY).collect()}
     left = {r.row_idx for r in sheets.mended_sheets(t).collect()}
     assert gone == {"LATR2", "LATR13", "LATRNone", "TRIA13", "TRIR13", "GANA2", "GANR2"} and left == {r[4] for r in rows} - gone
